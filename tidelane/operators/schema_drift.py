@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelane.plans.joins import join_null_safe
+from tidelane.plans.lineage import cut
 
 #: JSON type by the SQL type name of a variant.
 JSON_TYPE = {
@@ -110,12 +111,13 @@ def schema_changes(files: DataFrame, records: DataFrame, *, feed: str, file_no:
     present = files.select(F.col(feed).alias("feed"), F.col(file_no).alias("no")).where(F.col("feed").isNotNull() & F.col("no").isNotNull()).distinct()
     steps = present.withColumn("prev", F.lag("no").over(Window.partitionBy("feed").orderBy("no"))).where(F.col("prev").isNotNull())
     keyed = records.select(F.col(feed).alias("feed"), F.col(file_no).alias("no"), "fields")
-    has = keyed.select("feed", "no", F.explode("fields").alias("name", "x")).groupBy("feed", "no", "name").agg(F.sort_array(F.collect_set("x.kind")).alias("kinds"))
+    has = cut(keyed.select("feed", "no", F.explode("fields").alias("name", "x")).groupBy("feed", "no", "name").agg(F.sort_array(F.collect_set("x.kind")).alias("kinds")))
     now = steps.join(has, ["feed", "no"]).select("feed", "no", "prev", "name", F.col("kinds").alias("new_kinds"), F.lit(None).cast("array<string>").alias("old_kinds"))
     was = steps.join(has.withColumnRenamed("no", "prev"), ["feed", "prev"]).select("feed", "no", "prev", "name", F.lit(None).cast("array<string>").alias("new_kinds"), F.col("kinds").alias("old_kinds"))
     both = now.unionByName(was).groupBy("feed", "no", "prev", "name").agg(F.max("new_kinds").alias("new_kinds"), F.max("old_kinds").alias("old_kinds"))
     gone, came = F.col("new_kinds").isNull(), F.col("old_kinds").isNull()
     changes = both.select("feed", "no", "prev", F.when(gone, "removed").when(came, "added").when((F.size("new_kinds") > 0) & (F.size("old_kinds") > 0) & (F.col("new_kinds") != F.col("old_kinds")), "retyped").alias("kind"), "name").where(F.col("kind").isNotNull())
+    changes = cut(changes)
 
     # Fields of one record type: few names went or came in a step.
     pairs = changes.where("kind = 'removed'").select("feed", "no", "prev", F.col("name").alias("old")).join(changes.where("kind = 'added'").select("feed", "no", F.col("name").alias("new")), ["feed", "no"])
