@@ -6,7 +6,7 @@ import importlib
 import importlib.util
 
 #: Modules with a QUERIES table {name: (function of session and folder, SQL or None)}.
-MODULES = ["tidelane.catalog.recordings"]
+MODULES = ["tidelane.catalog.recordings", "tidelane.catalog.quality", "tidelane.catalog.alignment", "tidelane.catalog.features"]
 OPTIONAL = "tidelane.llm"
 
 

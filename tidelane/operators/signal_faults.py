@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tidelane.functions import segments
 from tidelane.functions.chains import forward_backward
 from tidelane.functions.integers import STAMP_LIMIT
+from tidelane.operators.medians import grouped_median
 from tidelane.plans.joins import join_null_safe
 from tidelane.plans.lineage import cut
 
@@ -317,21 +318,6 @@ def _judge(n_group: int, n_keys: int, rule: FaultRule) -> Callable[[Iterator[pa.
     return run
 
 
-def _pooled_medians(rows: DataFrame, source: list[str]) -> DataFrame:
-    """Exact median of x (counted c times) per source and kind, in two digits: first a logarithmic bin, then the values in it."""
-    bins = rows.withColumn("bin", F.floor(F.log2("x") * 64)).groupBy(*source, "kind", "bin", "x").agg(F.sum("c").alias("c"))
-    sums = bins.groupBy(*source, "kind", "bin").agg(F.sum("c").alias("c"))
-    along = Window.partitionBy(*source, "kind").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*source, "kind", "bin", "c", F.coalesce(F.sum("c").over(along), F.lit(0)).alias("base"), F.sum("c").over(Window.partitionBy(*source, "kind")).alias("n"))
-    ranks = sums.withColumn("rank", F.explode(F.array_distinct(F.array(F.expr("(n - 1) div 2"), F.expr("n div 2"))))).where((F.col("rank") >= F.col("base")) & (F.col("rank") < F.col("base") + F.col("c"))).drop("c")
-    inside = join_null_safe(bins, ranks, [*source, "kind", "bin"])
-    along = Window.partitionBy(*source, "kind", "bin", "rank").orderBy("x")
-    inside = inside.withColumn("upto", F.col("base") + F.sum("c").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    hits = inside.where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("c")))
-    medians = hits.groupBy(*source, "kind").agg(F.avg("x").alias("m"))
-    return medians.groupBy(*source).agg(F.max(F.when(F.col("kind") == 0, F.col("m"))).alias("m_change"), F.max(F.when(F.col("kind") == 1, F.col("m"))).alias("m_run"))
-
-
 def flag_faults(df: DataFrame, entity: list[str], order: str, fields: list[str], *, limits: DataFrame | None = None, limit_key: str | None = None, rule: FaultRule | None = None) -> DataFrame:
     """Impossible, spiking and stuck readings of each source (``entity`` columns and one of ``fields``).
 
@@ -407,7 +393,8 @@ def flag_faults(df: DataFrame, entity: list[str], order: str, fields: list[str],
     spread = inner.mapInArrow(_spread(len(source)), counts)
     steps = several.select(*source, F.lit(0).alias("kind"), F.abs(prior - F.col("head")[0]).alias("x"), F.lit(1).cast("long").alias("c")).where(F.col("x") > 0)
     crossing = pieces.where("opens").select(*source, F.lit(1).alias("kind"), F.col("total").cast("double").alias("x"), F.lit(1).cast("long").alias("c"))
-    pooled = _pooled_medians(spread.unionByName(steps).unionByName(crossing), source)
+    medians = grouped_median(spread.unionByName(steps).unionByName(crossing), [*source, "kind"], "x", "c")
+    pooled = medians.groupBy(*source).agg(F.max(F.when(F.col("kind") == 0, F.col("median"))).alias("m_change"), F.max(F.when(F.col("kind") == 1, F.col("median"))).alias("m_run"))
 
     notes = several.select(*group, "before", "after")
     notes = join_null_safe(join_null_safe(notes, borders, group, "left"), pooled, source, "left")
