@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelane.plans.lineage import cut
 
@@ -21,14 +22,14 @@ DIGIT = 16
 DIGITS = 4
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def order_key(values: pd.Series) -> pd.Series:
     """DOUBLE to BIGINT in the same order (-0.0 as 0.0)."""
     bits = (values.to_numpy(dtype=np.float64, na_value=np.nan) + 0.0).view(np.int64)
     return pd.Series(np.where(bits < 0, bits ^ np.int64(0x7FFF_FFFF_FFFF_FFFF), bits))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def order_value(keys: pd.Series) -> pd.Series:
     """The DOUBLE of an order key."""
     bits = keys.to_numpy(dtype=np.int64)
