@@ -9,7 +9,8 @@ candidates; an exact check of the stated rule then decides each candidate.
 Layout: readings are packed, before the shuffle, into one row per source and block of ``BLOCK`` frames,
 so a source of any length is many small rows.  What crosses block borders (four neighbouring
 readings, runs, medians) is exchanged through small summary rows.  The chain restarts at a block
-border from its stationary start; the evidence does not, it is carried exactly.
+border from its stationary start; the evidence does not, it is carried exactly, and a reading at its threshold
+outweighs the start and the transitions on its own.
 """
 
 from __future__ import annotations
@@ -108,7 +109,7 @@ def likelihoods(leave: np.ndarray, run: np.ndarray, impossible: np.ndarray, rule
     """Likelihood of each reading under each state, up to a factor; ``leave`` and ``run`` as shares of the rule's thresholds."""
     out = np.ones((len(leave), len(STATES)))
     out[:, 1] = np.exp(np.clip(30 * (leave - 2 / 3), -30, 30))
-    out[:, 2] = np.exp(np.clip(5 * (run - 0.8), -3, 3))
+    out[:, 2] = np.exp(np.clip(45 * (run - 0.8), -30, 30))
     out[:, 3] = 1e-12
     out[impossible] = [1e-12, 1e-12, 1e-12, 1.0]
     return out
