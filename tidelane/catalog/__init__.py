@@ -6,7 +6,7 @@ import importlib
 import importlib.util
 
 #: Modules with a QUERIES table {name: (function of session and folder, SQL or None)}.
-MODULES = [f"tidelane.catalog.{m}" for m in ("recordings", "quality", "alignment", "features", "evaluation", "runtime")]
+MODULES = [f"tidelane.catalog.{m}" for m in ("recordings", "quality", "alignment", "features", "evaluation", "runtime", "streams")]
 OPTIONAL = "tidelane.llm"
 
 
