@@ -36,7 +36,7 @@ def duration_text(seconds: Column) -> Column:
     whole = F.floor(seconds).cast("bigint")
     part = lambda unit, of: F.call_function("div", F.pmod(whole, F.lit(of)), F.lit(unit)).cast("string")
     return (
-        F.when(seconds < 60, F.concat(F.format_number(seconds, "0.0"), F.lit("s")))
+        F.when(seconds < 60, F.format_string("%.1fs", seconds))
         .when(seconds < 3600, F.concat(F.call_function("div", whole, F.lit(60)).cast("string"), F.lit("m "), F.lpad(part(1, 60), 2, "0"), F.lit("s")))
         .otherwise(F.concat(F.call_function("div", whole, F.lit(3600)).cast("string"), F.lit("h "), F.lpad(part(60, 3600), 2, "0"), F.lit("m")))
     )

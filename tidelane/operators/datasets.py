@@ -96,7 +96,7 @@ def replace_file(path: str, content: bytes) -> None:
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length, digest) of every file below a folder; SHA-256 of the content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    root = F.lit(folder.rstrip("/") + "/")
+    root = folder.rstrip("/") + "/"
     return files.select(F.substring_index(F.col("path"), root, -1).alias("path"), "length", F.sha2("content", 256).alias("digest"))
 
 
