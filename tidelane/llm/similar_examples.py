@@ -53,7 +53,7 @@ class BlockMaxIndex:
         order = np.lexsort((row, block, term))
         self.row, self.weight = row[order].astype(np.int32), weight[order].astype(np.float32)
         cell = term[order] * self.blocks + block[order]
-        self.pointer = np.searchsorted(cell, np.arange(len(terms) * self.blocks + 1)).astype(np.int64)
+        self.pointer = np.searchsorted(cell, np.arange(len(terms) * self.blocks + 1)).astype(np.int32)
         self.most = np.zeros(len(terms) * self.blocks, np.float32)
         np.maximum.at(self.most, cell, self.weight)
         self.most = self.most.reshape(len(terms), self.blocks)
