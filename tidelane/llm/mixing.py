@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelane.plans.lineage import cut
+
 #: Largest remaining budget that the knapsack runs over, in tokens.
 KNAPSACK = 1 << 16
 BINS_BITS = 12
@@ -94,7 +96,7 @@ def mix(documents: DataFrame, targets: DataFrame, *, doc_id: str, source: str, t
     Scale: sizes are summed map-side to counts per source and length; a plan row per source and length comes back.
     Documents are ranked inside 4,096 hash bins of each source and length, so no group is ordered whole.
     """
-    sizes = documents.select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.greatest(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)), F.lit(0)).alias("size")).distinct()
+    sizes = cut(documents.select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.greatest(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)), F.lit(0)).alias("size")).distinct())
     wanted = targets.groupBy("source").agg(F.coalesce(F.max("target_share"), F.lit(0.0)).alias("share"), F.coalesce(F.max("max_repeats"), F.lit(0)).cast("bigint").alias("cap")).where(F.col("source").isNotNull())
     counts = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.coalesce(F.sum(F.col("size") * F.col("n")), F.lit(0)).alias("total"))
