@@ -204,3 +204,12 @@ def test_calibration(spark):
     done = [r.asDict() for r in calibration.recommendation(report).collect()]
     assert [d["recommendation"] for d in done] == ["use_new", "keep_factory"] and "| a | 13 | 50% | 0.490 | 0.500 | use_new |" in calibration.report_lines(done)
     assert json.loads(calibration.calibration_document("c", [[1.0]], (640, 480)))["dist_coeffs"] == [0.0] * 5
+
+
+def test_pose_gate_names_the_first_reason(spark):
+    rows = [(1, "a", 0.0, 0.0), (1, "b", 1.0, 0.0), (2, "a", 0.5, 0.0), (2, "b", 1.0, 9.0), (3, "a", 0.0, 9.0), (4, "a", float("nan"), 0.0), (4, "b", 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "n long, joint string, position double, velocity double")
+    got = {r.n: (r.ok, r.reason, r.joint) for r in runtime.pose_gate(df, [("a", 0.0, 0.1, 1.0), ("b", 1.0, 0.1, 1.0)], by=["n"]).collect()}
+    assert got == {1: (True, None, None), 2: (False, "position", "a"), 3: (False, "missing", "b"), 4: (False, "non_finite", "a")}
+    with pytest.raises(ValueError):
+        runtime.pose_gate(df, [], by=["n"])

@@ -11,6 +11,10 @@ from tidelane.functions.integers import seconds_to_ns
 from tidelane.operators import batch_checks, coverage, shaping
 
 
+#: The cameras of a rig.
+CAMERAS = ("waist", "chest", "wrist_l", "wrist_r")
+
+
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """Messages (episode, topic, message_type, ts_ns, seq) of frames and sensor readings; the wrist readings stand for the arms' commands."""
     frames = table(spark, folder, "frames").select(
@@ -251,12 +255,12 @@ NAMES_SQL = "WITH t AS (SELECT dataset, list_sort(list(DISTINCT topic)) AS t FRO
 def empty_channels(spark: SparkSession, folder: str) -> DataFrame:
     """Messages of every camera of every episode, 0 where an episode has none of it."""
     frames = table(spark, folder, "frames").select("frame_id", "episode_idx", "camera").distinct()
-    channels = frames.select("episode_idx").distinct().crossJoin(F.broadcast(frames.select("camera").distinct()))
+    channels = frames.select("episode_idx").distinct().select("episode_idx", F.explode(F.array(*map(F.lit, CAMERAS))).alias("camera"))
     counts = frames.groupBy("episode_idx", "camera").agg(F.count(F.lit(1)).alias("messages"))
     return coverage.with_empty_channels(counts, channels, ["episode_idx", "camera"], "messages")
 
 
-EMPTY_SQL = "WITH f AS (SELECT DISTINCT frame_id, episode_idx, camera FROM frames), e AS (SELECT DISTINCT episode_idx FROM f), c AS (SELECT DISTINCT camera FROM f) SELECT e.episode_idx, c.camera, count(f.frame_id) AS messages FROM e CROSS JOIN c LEFT JOIN f ON f.episode_idx = e.episode_idx AND f.camera = c.camera GROUP BY ALL"
+EMPTY_SQL = "WITH f AS (SELECT DISTINCT frame_id, episode_idx, camera FROM frames), e AS (SELECT DISTINCT episode_idx FROM f), c AS (SELECT unnest(['waist', 'chest', 'wrist_l', 'wrist_r']) AS camera) SELECT e.episode_idx, c.camera, count(f.frame_id) AS messages FROM e CROSS JOIN c LEFT JOIN f ON f.episode_idx = e.episode_idx AND f.camera = c.camera GROUP BY ALL"
 
 QUERIES = {
     "topic_inventory": (topic_inventory, INVENTORY_SQL),

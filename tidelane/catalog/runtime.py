@@ -151,7 +151,7 @@ def bottlenecks(spark: SparkSession, folder: str) -> DataFrame:
 
 def _limited(spark: SparkSession, folder: str) -> DataFrame:
     limits = table(spark, folder, "joint_limits")
-    return table(spark, folder, "predictions").select("episode_idx", "t", "joint", "obs_state").where("obs_state IS NOT NULL").distinct().join(F.broadcast(limits), "joint")
+    return table(spark, folder, "predictions").select("episode_idx", "t", "joint", "obs_state").where("obs_state IS NOT NULL").distinct().join(limits, "joint")
 
 
 def saturation(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,7 +177,8 @@ def pose_gate(spark: SparkSession, folder: str) -> DataFrame:
     """Frames whose right arm is within 0.5 of the middle of its limits and moves at most 0.05 a frame."""
     rows = table(spark, folder, "predictions").where("obs_state IS NOT NULL").groupBy("episode_idx", "t", "joint").agg(F.min("obs_state").alias("position"))
     rows = rows.withColumn("velocity", F.coalesce(F.col("position") - F.lag("position").over(Window.partitionBy("episode_idx", "joint").orderBy("t")), F.lit(0.0)))
-    contract = table(spark, folder, "joint_limits").where(F.col("joint").startswith("right_")).select("joint", ((F.col("lower_limit") + F.col("upper_limit")) / 2).alias("target"), F.lit(0.5).alias("position_tolerance"), F.lit(0.05).alias("velocity_tolerance"), F.col("joint").alias("place"))
+    arm = table(spark, folder, "joint_limits").where(F.col("joint").startswith("right_")).orderBy("joint").limit(runtime.MOST_JOINTS).collect()
+    contract = [(r.joint, (r.lower_limit + r.upper_limit) / 2, 0.5, 0.05) for r in arm]
     return runtime.pose_gate(rows, contract, by=["episode_idx", "t"])
 
 

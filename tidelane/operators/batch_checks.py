@@ -49,10 +49,12 @@ def missing_topics(reports: DataFrame, episodes: DataFrame | None = None) -> Dat
     monitored = reports.where(F.col("role").isin("stream", "action")).select("episode", "topic", "role").distinct()
     episodes = (reports if episodes is None else episodes).select("episode").where(F.col("episode").isNotNull()).distinct()
     total = episodes.agg(F.count(F.lit(1)).alias("n"))
-    usual = monitored.groupBy("topic", "role").agg(F.count(F.lit(1)).alias("have"))
-    quorum = usual.crossJoin(F.broadcast(total)).where((F.col("n") > 1) & (F.col("have") >= F.expr("n div 2 + 1"))).select("topic", "role")
-    # Expected pairs: episodes times the topics of a rig's layout, a handful that doesn't grow with the recordings.
-    return episodes.crossJoin(quorum).join(monitored, ["episode", "topic", "role"], "left_anti").select("episode", "topic", "role", F.lit("critical").alias("severity"), F.lit("missing_topic").alias("reason_code"))
+    have = monitored.groupBy("topic", "role").agg(F.count(F.lit(1)).alias("have"))
+    # Each topic of the quorum is in most episodes, so it holds at most twice the mean number of topics of an episode: one short array.
+    usual = have.join(total).where((F.col("n") > 1) & (F.col("have") >= F.expr("n div 2 + 1"))).agg(F.collect_set(F.struct("topic", "role")).alias("usual"))
+    own = monitored.groupBy("episode").agg(F.collect_set(F.struct("topic", "role")).alias("own"))
+    lacking = episodes.join(own, "episode", "left").join(F.broadcast(usual)).select("episode", F.explode(F.array_except("usual", F.coalesce("own", F.array().cast(own.schema["own"].dataType)))).alias("x"))
+    return lacking.select("episode", "x.topic", "x.role", F.lit("critical").alias("severity"), F.lit("missing_topic").alias("reason_code"))
 
 
 def topic_health(reports: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Largest number of joints of a contract.
+MOST_JOINTS = 256
+
 
 def rolling_smoothness(rows: DataFrame, *, by: list[str], order: str, vector_step: str, clamped: str | None = None, window: int = 100) -> DataFrame:
     """Mean, deviation and maximum of the last ``window`` steps and mean and maximum of their jerk; share of clamped steps over all so far.
@@ -124,14 +127,16 @@ def slow_streams(rows: DataFrame, by: list[str], stream: str, rate: str, expecte
     return slow.groupBy(*by).agg(F.min_by(stream, F.struct(rate, stream)).alias("bottleneck"), F.min(rate).alias("rate"))
 
 
-def pose_gate(samples: DataFrame, contract: DataFrame, *, by: list[str]) -> DataFrame:
-    """Per sample: whether every joint of the contract (joint, target, position_tolerance, velocity_tolerance, place) holds, and the first reason if not.
+def pose_gate(samples: DataFrame, contract: list[tuple[str, float, float, float]], *, by: list[str]) -> DataFrame:
+    """Per sample: whether every joint of the contract (joint, target, position and velocity tolerance) holds, and the first reason if not.
 
     ``samples`` are long rows (by, joint, position, velocity); a joint that isn't there fails as missing, before any other reason.
-    The contract is a rig's joint list, a handful of rows.
+    The contract is configuration, at most MOST_JOINTS joints, and goes into the plan as a literal.
     """
-    keys = samples.select(*by).distinct()
-    wanted = keys.crossJoin(F.broadcast(contract))
+    if not 0 < len(contract) <= MOST_JOINTS:
+        raise ValueError("a contract has 1 to MOST_JOINTS joints")
+    wish = F.array(*(F.struct(F.lit(i).alias("place"), F.lit(j).alias("joint"), F.lit(float(t)).alias("target"), F.lit(float(p)).alias("position_tolerance"), F.lit(float(v)).alias("velocity_tolerance")) for i, (j, t, p, v) in enumerate(contract)))
+    wanted = samples.select(*by).distinct().select(*by, F.inline(wish))
     rows = wanted.join(samples, [*by, "joint"], "left")
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
     reason = (

@@ -53,8 +53,7 @@ def contiguous_ranges(n: int, ratios: tuple[float, float, float]) -> dict[str, t
 def contiguous_split(episodes: DataFrame, episode: str, ratios: tuple[float, float, float]) -> DataFrame:
     """Episodes in their order cut into train, val and test (one window over episode numbers, a metadata table)."""
     placed = episodes.select(episode).distinct().withColumn("_p", F.row_number().over(Window.orderBy(episode)) - 1)
-    total = episodes.select(episode).distinct().agg(F.count(F.lit(1)).alias("_n"))
-    rows = placed.crossJoin(F.broadcast(total))
+    rows = placed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
     n, whole = F.col("_n"), sum(ratios)
     part = lambda r: F.when((n >= 3) & F.lit(r > 0), F.greatest(F.lit(1), F.rint(n * r / whole).cast("int"))).otherwise(0)
     val, test = part(ratios[1]), part(ratios[2])
