@@ -13,6 +13,9 @@ def test_frames_round_trip_and_refuse_to_overwrite(spark, tmp_path):
     datasets.write_frames(df, str(tmp_path / "d"), buckets=3)
     back = datasets.read_dataset(spark, str(tmp_path / "d"))
     assert {tuple(r)[:3] for r in back.select("episode_index", "frame_index", "x").collect()} == {tuple(r) for r in df.collect()}
+    one = datasets.read_episode(spark, str(tmp_path / "d"), 3, 3)
+    assert [r.frame_index for r in one.collect()] == list(range(10))
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     with pytest.raises(Exception, match="(?i)exists"):
         datasets.write_frames(df, str(tmp_path / "d"), buckets=3)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelane.catalog.tables import table
 from tidelane.functions import arrays, names
-from tidelane.operators import contracts, deltas, statistics
+from tidelane.operators import contracts, deltas, statistics, transforms
 
 STATS = ["count", "min", "max", "mean", "std", *statistics.POINTS]
 LUMA_LEVELS = 256
@@ -265,6 +265,31 @@ def pose_steps(spark: SparkSession, folder: str) -> DataFrame:
 POSE_SQL = """WITH e AS (SELECT vec_id, list_transform(embedding[1:7], lambda x: CAST(x AS DOUBLE)) AS p FROM embeddings), b AS (SELECT *, lag(p) OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) AS b FROM e)
 SELECT vec_id, round(sqrt(list_sum(list_transform([1, 2, 3], lambda i: (p[i] - b[i]) * (p[i] - b[i])))), 6) AS metres,
 round(degrees(2 * acos(least(1.0, abs(list_sum(list_transform([4, 5, 6, 7], lambda i: p[i] * b[i]))) / (sqrt(list_sum(list_transform([4, 5, 6, 7], lambda i: p[i] * p[i]))) * sqrt(list_sum(list_transform([4, 5, 6, 7], lambda i: b[i] * b[i]))))))), 4) AS degrees FROM b WHERE b IS NOT NULL"""
+def shaped_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Evaluations through a pipeline of transforms: features dropped, a task set, one step switched off."""
+    rows = table(spark, folder, "episode_metrics").select("eval_id", "episode_idx", F.col("mse").alias("observation.mse"), F.col("mae").alias("observation.state"), "rmse").distinct()
+    steps = [
+        transforms.Step("exclude", transforms.exclude_observations(["mse", "state"])),
+        transforms.Step("drop", transforms.drop_features(["rmse"])),
+        transforms.Step("task", transforms.set_task("sort envelopes")),
+        transforms.Step("off", transforms.drop_features(["eval_id"]), enabled=False),
+    ]
+    return transforms.pipeline(rows, steps).withColumnRenamed("observation.state", "state")
+
+
+def command_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    return transforms.has_suffix(table(spark, folder, "topic_reports"), ["episode"], "topic", "/commands")
+
+
+def scanned_joints(spark: SparkSession, folder: str) -> DataFrame:
+    """Joints of a recording whose messages name the limits' joints as leader joints of both arms."""
+    joints = table(spark, folder, "joint_limits").agg(F.array_sort(F.collect_set(F.concat(F.lit("leader_"), F.substring("joint", 1, 1), F.lit("_"), F.regexp_replace("joint", "^(left|right)_", "")))).alias("names"))
+    rows = joints.select(F.explode(F.array(F.struct(F.lit("b").alias("file"), F.lit(1).alias("n"), F.col("names")), F.struct(F.lit("a").alias("file"), F.lit(2).alias("n"), F.col("names")), F.struct(F.lit("a").alias("file"), F.lit(1).alias("n"), F.array(F.lit("other_joint")).alias("names")))).alias("m")).select("m.*")
+    out = transforms.first_joints(rows, file="file", order="n", names="names")
+    return out.select("role", "robot", F.array_join("joints", ",").alias("joints"))
+
+
+SCANNED_SQL = "SELECT 'action' AS role, CASE WHEN joint LIKE 'left%' THEN 'left' ELSE 'right' END AS robot, string_agg(regexp_replace(joint, '^(left|right)_', ''), ',' ORDER BY regexp_replace(joint, '^(left|right)_', '')) AS joints FROM joint_limits GROUP BY 2"
 SEQ = "WITH " + LONG_SQL + ", d AS (SELECT *, a - coalesce(lag(a) OVER (PARTITION BY episode_idx, joint, chunk ORDER BY t), s) AS delta FROM lng)"
 
 QUERIES = {
@@ -293,4 +318,7 @@ QUERIES = {
     "monitor_delta": (monitor_delta, "WITH " + LONG_SQL + " SELECT episode_idx, t, joint, round(a - lag(a) OVER (PARTITION BY episode_idx, joint ORDER BY t), 6) AS step FROM lng"),
     "joint_name_parse": (joint_names, JOINT_SQL),
     "pose_delta": (pose_steps, POSE_SQL),
+    "transform_pipeline": (shaped_features, "SELECT DISTINCT eval_id, episode_idx, mae AS state, 'sort envelopes' AS task FROM episode_metrics"),
+    "command_episodes": (command_episodes, "SELECT episode, bool_or(topic LIKE '%/commands') AS found FROM topic_reports GROUP BY 1"),
+    "scanned_joint_names": (scanned_joints, SCANNED_SQL),
 }

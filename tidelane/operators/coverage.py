@@ -140,3 +140,15 @@ def episode_severity(report: DataFrame, aborted: DataFrame | None = None) -> Dat
         bad = aborted.where("status = 'aborted'").select("episode").distinct().withColumn("stopped", F.lit(True))
         per = per.join(bad, "episode", "full_outer").select("episode", F.when(F.col("stopped"), "critical").otherwise(F.col("severity")).alias("severity"), F.coalesce("flagged", F.lit(0)).alias("flagged"))
     return per.withColumn("passed", F.col("severity") == "pass")
+
+
+def report_documents(report: DataFrame, severity: DataFrame) -> DataFrame:
+    """(episode, document): one JSON text per episode with its severity and its topics' reports in name order.  An episode has a handful of topics."""
+    topics = report.groupBy("episode").agg(F.array_sort(F.collect_list(F.struct("topic", "role", "messages", "avg_fps", "coverage", "total_gap_s", "longest_gap_s", "severity", "gaps"))).alias("topics"))
+    rows = severity.join(topics, "episode", "left")
+    return rows.select("episode", F.to_json(F.struct("episode", "severity", "passed", F.coalesce("topics", F.array().cast(topics.schema["topics"].dataType)).alias("topics"))).alias("document"))
+
+
+def markdown_lines(rows: list[dict]) -> list[str]:
+    """A short report of episodes as Markdown table lines."""
+    return ["| episode | severity | flagged |", "|---|---|---|", *(f"| {r['episode']} | {r['severity']} | {r['flagged']} |" for r in rows)]

@@ -18,8 +18,8 @@ def read_dataset(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
-def write_frames(frames: DataFrame, path: str, *, episode: str = "episode_index", order: str = "frame_index", buckets: int | None = None) -> None:
-    """Frames as Parquet, ordered inside files.
+def write_frames(frames: DataFrame, path: str, *, episode: str = "episode_index", order: str = "frame_index", buckets: int | None = None) -> int:
+    """Frames as Parquet, ordered inside files; returns the number of buckets.
 
     Episodes are spread by hash over ``buckets`` directories (default: one per shuffle partition), as a directory per episode
     would be millions of tiny files; the reader prunes by the bucket and by statistics of the sorted episode column.
@@ -27,6 +27,14 @@ def write_frames(frames: DataFrame, path: str, *, episode: str = "episode_index"
     n = buckets or int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = frames.withColumn("bucket", F.pmod(F.xxhash64(episode), F.lit(n)).cast("int"))
     rows.repartition(n, "bucket").sortWithinPartitions("bucket", episode, order).write.partitionBy("bucket").mode("errorifexists").parquet(path)
+    return n
+
+
+def read_episode(spark: SparkSession, path: str, number: int, buckets: int, *, episode: str = "episode_index", order: str = "frame_index") -> DataFrame:
+    """Frames of one episode of a dataset that :func:`write_frames` wrote with ``buckets``, in order; only its directory is read."""
+    frames = spark.read.parquet(path)
+    own = F.pmod(F.xxhash64(F.lit(number).cast(frames.schema[episode].dataType)), F.lit(buckets)).cast("int")
+    return frames.where((F.col("bucket") == own) & (F.col(episode) == number)).orderBy(order)
 
 
 def not_yet_written(sources: DataFrame, written: DataFrame, key: str) -> DataFrame:
