@@ -1,9 +1,9 @@
 """Percentiles of very large numeric columns by radix selection.
 
-A value's bits, mapped so that integer order is numeric order, are read as four digits of 16 bits.  Counts
-of a digit per group are summaries that add up across files, days and groups.  Each pass counts one
-digit among the values that share the digits chosen before, and follows the digit in which a target
-rank falls.  After ``digits`` passes a percentile is known to ``16 * digits`` leading bits; after four it is exact.
+A value's bits, mapped so that integer order is numeric order, are read as four digits.  Counts of a digit per
+group are summaries that add up across files, days and groups.  Each pass counts one digit among the values that
+share the digits chosen before, and follows the digit in which a target rank falls.  After ``digits`` passes a
+percentile is known to its leading ``ENDS[digits - 1]`` bits; after four it is exact.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.plans.joins import small_side
 from tidelane.plans.lineage import cut
 
-DIGIT = 16
-DIGITS = 4
+#: Leading bits that are known after each pass: the first digit has sign, exponent and 8 bits of mantissa.
+ENDS = (20, 36, 52, 64)
+DIGITS = len(ENDS)
 
 
 @F.pandas_udf(T.LongType())
@@ -37,7 +39,7 @@ def order_value(keys: pd.Series) -> pd.Series:
 
 
 def _prefix(key: Column, digits: int) -> Column:
-    return F.shiftright(key, 64 - DIGIT * digits) if digits else F.lit(0).cast("bigint")
+    return F.shiftright(key, 64 - ENDS[digits - 1]) if digits else F.lit(0).cast("bigint")
 
 
 def digit_counts(keyed: DataFrame, groups: list[str], digits: int) -> DataFrame:
@@ -51,8 +53,7 @@ def digit_counts(keyed: DataFrame, groups: list[str], digits: int) -> DataFrame:
 
 def error_bound(digits: int) -> float:
     """Largest relative error of a percentile after ``digits`` passes for normal doubles (0 after four)."""
-    bits = DIGIT * digits - 12
-    return 0.0 if digits >= DIGITS else float("inf") if bits < 0 else 2.0**-bits
+    return 0.0 if digits >= DIGITS else 2.0 ** (12 - ENDS[digits - 1])
 
 
 def percentiles(df: DataFrame, levels: list[list[str]], value: str, points: dict[str, float], *, digits: int = DIGITS) -> DataFrame:
@@ -66,7 +67,7 @@ def percentiles(df: DataFrame, levels: list[list[str]], value: str, points: dict
     Null and NaN values don't count (infinities do); a group without values has no row; ties and copies count as
     often as they occur; null grouping values are a group; an empty table gives no row.  Other columns are not read.
 
-    Scale: each pass is one map-side combined count, of at most 65,536 cells a group; the values that remain after a
+    Scale: each pass is one map-side combined count, of 256 cells an octave in the first and 65,536 a cell in the next; the values that remain after a
     pass are those in the cells that targets fall in.  No group is ever gathered.
     """
     if any(fine[: len(coarse)] != coarse for coarse, fine in zip(levels, levels[1:], strict=False)):
@@ -97,7 +98,7 @@ def percentiles(df: DataFrame, levels: list[list[str]], value: str, points: dict
         else:
             counts = digit_counts(live, group, d)
         along = Window.partitionBy(*group, "parent").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("parent", F.shiftright("prefix", DIGIT) if d > 1 else F.lit(0).cast("bigint"))
+        counts = counts.withColumn("parent", F.shiftright("prefix", ENDS[d - 1] - ENDS[d - 2]) if d > 1 else F.lit(0).cast("bigint"))
         counts = counts.select(*group, "parent", "prefix", "n", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("below"), F.sum("n").over(Window.partitionBy(*group, "parent")).alias("of"))
         if targets is None:
             stats = F.explode(F.array(*(F.struct(F.lit(s).alias("stat"), F.lit(float(p)).alias("p")) for s, p in points.items()))).alias("s")
@@ -112,17 +113,17 @@ def percentiles(df: DataFrame, levels: list[list[str]], value: str, points: dict
         hit = wanted.join(other, [*on, (F.col("left") >= F.col("c_below")) & (F.col("left") < F.col("c_below") + F.col("c_n"))])
         targets = cut(hit.select(*group, "total", "stat", "place", "rank", "low", F.col("c_prefix").alias("parent"), (F.col("left") - F.col("c_below")).alias("left")))
         if d < digits:
-            cells = targets.select(*group, "parent").distinct()
+            # Cells of one chosen digit: a few per group.  Few enough in all, they go to the values; else the values go to them.
+            cells = small_side(targets.select(*group, "parent").distinct())
             kept = None
             for i in range(len(levels)) if d == 1 else [None]:
                 own = at_level(live, i) if i is not None else live
-                cell = cells if i is None else cells.where(F.col("level") == i)
-                cell = cell.toDF(*(f"c_{c}" for c in cell.columns))
+                cell = cells.toDF(*(f"c_{c}" for c in cells.columns))
                 part = own.join(cell, [own[c].eqNullSafe(cell[f"c_{c}"]) for c in group] + [_prefix(own["key"], d) == cell["c_parent"]], "left_semi")
                 kept = part if kept is None else kept.unionByName(part)
             live = cut(kept)
     # The middle of the last cell stands for its values; after four digits a cell is one value.
-    spare = 64 - DIGIT * digits
+    spare = 64 - ENDS[digits - 1]
     key = F.shiftleft("parent", spare) + F.lit((1 << spare) >> 1 if spare else 0).cast("bigint")
     ends = targets.groupBy(*group, "total", "stat", "place", "low").agg(F.min(F.when(F.col("rank") == F.col("low"), key)).alias("a"), F.max(key).alias("b"))
     ends = ends.select(*group, "total", "stat", "place", "low", order_value("a").alias("a"), order_value("b").alias("b"))
