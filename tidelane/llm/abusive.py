@@ -12,7 +12,7 @@ isotonic regression on the labelled documents, each scored without its own votes
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,8 @@ class ExampleModel:
     example: np.ndarray
     score_at: np.ndarray
     probability_at: np.ndarray
+    #: What a worker remembers of passages it has judged, between tasks too.
+    memory: dict = field(default_factory=dict)
 
     def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Score, cosine and number of the nearest example of each passage."""
@@ -187,12 +189,15 @@ def score_documents(documents: DataFrame, model: ExampleModel, *, doc_id: str =
     schema = T.StructType([source.schema["id"], *(source.schema[f"x{i}"] for i in range(len(keep))), *(T.StructField(n, t) for n, t in (("score", T.DoubleType()), ("probability", T.DoubleType()), ("passage", T.StringType()), ("example", T.StringType()), ("cosine", T.DoubleType())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memory = shared.value, {}
+        model = shared.value
+        memory = model.memory
         for batch in batches:
             found = [sorted(set(passages(x))) for x in batch.column(1).to_pylist()]
             fresh = sorted({p for x in found for p in x} - memory.keys())
             if len(memory) + len(fresh) > REMEMBERED:
-                memory = {p: memory[p] for x in found for p in x if p in memory}
+                kept = {p: memory[p] for x in found for p in x if p in memory}
+                memory.clear()
+                memory.update(kept)
             for i in range(0, len(fresh), 4096):
                 part = fresh[i : i + 4096]
                 memory.update(zip(part, zip(*model.judge(part), strict=True), strict=True))

@@ -24,6 +24,9 @@ _OTHER = re.compile(r"[\W\d_]+")
 _REPEAT = re.compile(r"([^\W\d_])\1+")
 _LOOK = str.maketrans(LOOKALIKE)
 _SIGN = str.maketrans(SIGN)
+_SIGNS = frozenset(SIGN)
+#: Combining marks that a decomposed letter carries.
+_MARKS = re.compile(r"[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]+")
 
 LATIN_GRAM = 4
 WIDE_GRAM = 2
@@ -39,10 +42,12 @@ def _word(m: re.Match) -> str:
 
 def squash(passage: str) -> str:
     """Lower-case letters only: no blanks, marks or digits, lookalikes as Latin, each letter once in a row."""
-    text = unicodedata.normalize("NFKC", passage).lower().translate(_LOOK)
-    text = _WORD.sub(_word, text)
-    text = unicodedata.normalize("NFKD", text)
-    text = "".join(c for c in text if not unicodedata.combining(c))
+    plain = passage.isascii()
+    text = passage.lower() if plain else unicodedata.normalize("NFKC", passage).lower().translate(_LOOK)
+    if not _SIGNS.isdisjoint(text):
+        text = _WORD.sub(_word, text)
+    if not plain:
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
     return _REPEAT.sub(r"\1", _OTHER.sub("", text))
 
 
