@@ -93,6 +93,14 @@ def test_held_out_documents(spark, crowded):
     assert sum(r.documents for r in rates.values()) == len(docs) and None in rates
 
 
+def test_labelled_sample_is_bounded(spark):
+    docs, truth = corpus(5, 60)
+    documents = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, "yes" if truth[i] else "no") for i in range(60)], "doc_id long, offensive string")
+    assert len(set(fit_examples(documents, labels, most_labelled=7).example)) <= 7
+    assert len(fit_examples(documents, labels, most_passages=5).index.entries) <= 5
+
+
 def test_without_labels_or_documents(spark):
     documents = spark.createDataFrame([(1, "any text here")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, offensive string")

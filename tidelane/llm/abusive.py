@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tidelane.llm.passages import passages
 from tidelane.llm.similar_examples import BlockMaxIndex, known_terms, vocabulary
 
-#: Bounds of the labelled sample that the classifier is fitted on.
+#: Default bounds of the labelled sample that the classifier is fitted on (parameters of :func:`fit_examples`).
 MOST_LABELLED = 20_000
 MOST_PASSAGES = 300_000
 NEIGHBOURS = 12
@@ -104,11 +104,11 @@ def fit_votes(index: BlockMaxIndex, entry: np.ndarray, doc: np.ndarray, label: n
     return np.bincount(entry, vote, minlength=n) / np.maximum(count, 1), np.minimum(count, VOTES), without_own()
 
 
-def _labelled_passages(documents: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label_id: str, label: str) -> DataFrame:
-    """(id, label, passage) of at most MOST_LABELLED labelled documents, chosen by hash; the label is the share of yes."""
+def _labelled_passages(documents: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label_id: str, label: str, most_labelled: int, most_passages: int) -> DataFrame:
+    """(id, label, passage) of at most ``most_labelled`` labelled documents, chosen by hash; the label is the share of yes."""
     said = F.lower(F.trim(F.col(label).cast("string")))
     known = labels.select(F.col(label_id).alias("id"), F.when(said.isin(*YES), 1.0).when(said.isin(*NO), 0.0).alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull())
-    known = known.groupBy("id").agg(F.avg("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(MOST_LABELLED)
+    known = known.groupBy("id").agg(F.avg("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(most_labelled)
     texts = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +118,7 @@ def _labelled_passages(documents: DataFrame, labels: DataFrame, *, doc_id: str,
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), pa.array([p for x in found for p in x], pa.string())], names=["id", "y", "passage"])
 
     schema = T.StructType([texts.schema["id"], texts.schema["y"], T.StructField("passage", T.StringType())])
-    return texts.select("id", "text", "y").mapInArrow(run, schema).distinct().orderBy(F.xxhash64("id"), "id", "passage").limit(MOST_PASSAGES)
+    return texts.select("id", "text", "y").mapInArrow(run, schema).distinct().orderBy(F.xxhash64("id"), "id", "passage").limit(most_passages)
 
 
 def corpus_counts(documents: DataFrame, text: str, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -150,13 +150,16 @@ def corpus_counts(documents: DataFrame, text: str, terms: np.ndarray) -> tuple[n
     return seen, int(sums.loc[sums["term"] < 0, "n"].sum())
 
 
-def fit_examples(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", label: str = "offensive") -> ExampleModel:
-    """Fit on the labelled documents (a bounded sample, see MOST_LABELLED and MOST_PASSAGES); corpus counts are over all documents.
+def fit_examples(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", label: str = "offensive", most_labelled: int = MOST_LABELLED, most_passages: int = MOST_PASSAGES) -> ExampleModel:
+    """Fit on the labelled documents; corpus counts are over all documents.
+
+    The labelled sample is bounded: at most ``most_labelled`` documents, chosen by the hash of their id, and of these at most
+    ``most_passages`` different passages in the same order.
 
     Labels in unknown spellings, of null ids or of documents that don't exist are left out; several labels of a document
     are averaged.  Without labels the model scores everything 0.
     """
-    rows = _labelled_passages(documents, labels, doc_id=doc_id, text=text, label_id=label_id, label=label).toPandas()
+    rows = _labelled_passages(documents, labels, doc_id=doc_id, text=text, label_id=label_id, label=label, most_labelled=most_labelled, most_passages=most_passages).toPandas()
     entries, entry = np.unique(rows["passage"].to_numpy(dtype=str), return_inverse=True) if len(rows) else (np.zeros(0, str), np.zeros(0, np.int64))
     names = [str(x) for x in entries]
     terms = vocabulary(names)
