@@ -101,3 +101,11 @@ def test_joint_checks(spark):
     assert values(spark, s, [(1.05, 0.1), (1.5, 0.1), (1.05, None), (0.5, 0.1)], "v double, m double") == [1.0, 1.5, 1.05, 0.5]
     c = runtime.target_check(F.col("v"), F.lit(0.0), F.lit(1.0), F.lit(0.1))
     assert [(x.value, x.error) for x in values(spark, c, [(1.05,), (2.0,), (float("nan"),), (None,)], "v double")] == [(1.0, None), (None, "out_of_limits"), (None, "not_finite"), (None, "not_finite")]
+
+
+def test_merge_alignment(spark):
+    rows = [(True, 20, 15, 3, 8, 1.0, 1.2, True), (True, 20, 20, 3, 3, 1.0, 1.2, False), (True, 20, 15, 3, 7, 1.0, 1.2, True), (True, 20, 5, 0, 15, 1.0, 1.2, True), (False, 1, 1, 0, 0, 1.0, 1.2, True), (True, 20, 19, 0, 1, 1.0, 1.2, False), (True, 1, 0, 0, 1, 1.0, 1.2, True), (True, 1, 1, 0, 0, 2.0, 1.0, True)]
+    df = spark.createDataFrame(rows, "q boolean, a long, b long, i long, j long, s double, m double, r boolean")
+    c = rates.merge_alignment(same_queue=F.col("q"), queue_before=F.col("a"), queue_at=F.col("b"), index_before=F.col("i"), index_at=F.col("j"), requested_s=F.col("s"), merged_s=F.col("m"), rate=F.lit(30.0), ready=F.col("r"))
+    got = [(x.delay_steps, x.error) for x in (r[0] for r in df.select(c).collect())]
+    assert got == [(5, None), (6, None), (None, "mismatch"), (None, "consumed_too_much"), (None, "queue_changed"), (None, "consumed_before_ready"), (None, "queue_empty"), (None, "timing")]

@@ -68,3 +68,23 @@ def refill_readiness(*, chunk: Column, delay: Column, latency: Column, rate: Col
     overlap = F.greatest(zero, F.least(horizon, required) - bound)
     failures = F.array_compact(F.array(F.when(start <= 0, "empty_queue"), F.when(required < bound + 1, "coverage"), F.when(next_age >= max_age, "source_age"), F.when(overlap < min_overlap, "overlap")))
     return F.struct(start.alias("q_start"), wait.alias("wait_steps"), required.alias("q_required"), bound.alias("delay_bound"), next_age.alias("next_age"), overlap.alias("overlap"), failures.alias("failures"), (F.size(failures) == 0).alias("sustainable"))
+
+
+def merge_alignment(*, same_queue: Column, queue_before: Column, queue_at: Column, index_before: Column, index_at: Column, requested_s: Column, merged_s: Column, rate: Column, ready: Column, tolerance: int = 1) -> Column:
+    """How many steps passed while a chunk was inferred, or the code of why the merge is invalid.
+
+    Once ready, what the queue consumed counts, bounded by what the elapsed time explains (plus ``tolerance`` steps); before,
+    nothing may have been consumed and the elapsed steps count.
+    """
+    wall = F.ceil((merged_s - requested_s) * rate)
+    consumed = index_at - index_before
+    error = (
+        F.when(F.isnan(requested_s) | F.isnan(merged_s) | (merged_s < requested_s) | ~(rate > 0), "timing")
+        .when(~same_queue, "queue_changed")
+        .when((queue_before < 0) | (queue_at < 0) | (index_before < 0) | (consumed < 0), "regressed")
+        .when(queue_before - queue_at != consumed, "mismatch")
+        .when(~ready & (consumed != 0), "consumed_before_ready")
+        .when(ready & (queue_at < 1), "queue_empty")
+        .when(ready & (consumed > wall + tolerance), "consumed_too_much")
+    )
+    return F.struct(wall.alias("wall_steps"), consumed.alias("consumed_steps"), F.when(error.isNull(), F.when(ready, consumed).otherwise(wall)).alias("delay_steps"), error.alias("error"))
