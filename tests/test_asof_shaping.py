@@ -49,6 +49,7 @@ def test_fill_kinds(spark):
     assert kinds[0] == kinds[20] == ("fallback_to_observation", 3.0)
     assert kinds[30] == kinds[50] == ("exact", 7.0)  # the oldest frame held at 50 is 20
     assert kinds[60] == ("hold_last", 7.0)
+    assert tuple(fill_counts(got, ["episode"]).first()) == (1, 3, 6, 3, 0)
     none = fill_kind(frames.limit(1), commands.limit(0), observations.limit(0), buffer_frames=2).first()
     assert none.kind == "dropped"
 
