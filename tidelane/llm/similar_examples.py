@@ -6,10 +6,11 @@ import numpy as np
 
 from tidelane.llm.passages import grams
 
-#: Blocks of entries; upper bounds are kept per term and block.
-MOST_BLOCKS = 64
-#: Blocks whose postings are read at a time: first few, then more.
-STEPS = (3, 9, MOST_BLOCKS)
+#: Blocks of entries: as many as this, or as pairs of term and block fit the memory for upper bounds and pointers (8 bytes a pair).
+MOST_BLOCKS = 1024
+MOST_PAIRS = 1 << 23
+#: Blocks that a query reads first; those that can still matter then are read together.
+FIRST = 16
 #: Entries whose cosine is below this share of the best are no neighbours.
 SHARE = 0.5
 
@@ -47,16 +48,29 @@ class BlockMaxIndex:
         weight = (1 + np.log(count)) * self.idf[term]
         norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(entries)))
         weight = weight / np.maximum(norm[row], 1e-12)
-        self.width = max(1, -(-len(entries) // MOST_BLOCKS))
+        self.width = max(1, -(-len(entries) // max(16, min(MOST_BLOCKS, MOST_PAIRS // max(1, len(terms))))))
         self.blocks = max(1, -(-len(entries) // self.width))
         block = row // self.width
         order = np.lexsort((row, block, term))
         self.row, self.weight = row[order].astype(np.int32), weight[order].astype(np.float32)
-        cell = term[order] * self.blocks + block[order]
-        self.pointer = np.searchsorted(cell, np.arange(len(terms) * self.blocks + 1)).astype(np.int32)
-        self.most = np.zeros(len(terms) * self.blocks, np.float32)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(len(terms), self.blocks)
+        self.cell = (term[order] * self.blocks + block[order]).astype(np.int32)
+        self._bounds()
+
+    def _bounds(self) -> None:
+        """Start of each pair of term and block in the lists, and the largest weight there."""
+        pairs = len(self.terms) * self.blocks
+        self.pointer = np.concatenate(([0], np.cumsum(np.bincount(self.cell, minlength=pairs)))).astype(np.int32)
+        self.most = np.zeros(pairs, np.float32)
+        np.maximum.at(self.most, self.cell, self.weight)
+        self.most = self.most.reshape(len(self.terms), self.blocks)
+
+    def __getstate__(self) -> dict:
+        """The lists alone travel; bounds are made again where they arrive."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("pointer", "most")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._bounds()
 
     def nearest(self, texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest entries of each text and their cosines (-1 and 0 where there are fewer)."""
@@ -80,7 +94,7 @@ class BlockMaxIndex:
         order = order[bound[order] > 0]
         best, best_score, at = np.zeros(0, np.int64), np.zeros(0), 0
         slot = np.empty(self.blocks, np.int64)
-        for step in STEPS:
+        for step in (FIRST, self.blocks):
             read = order[at : at + step]
             at += step
             if len(best):
