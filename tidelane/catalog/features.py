@@ -14,11 +14,11 @@ LUMA_LEVELS = 256
 
 
 def _rounded(df: DataFrame, keys: list[str], stats: list[str] = STATS) -> DataFrame:
-    return df.select(*keys, *(F.round(F.col(s).cast("double"), 6).alias(s) for s in stats))
+    return df.select(*keys, *(F.round(F.col(s).cast("double"), 9).alias(s) for s in stats))
 
 
 def _stats_sql(x: str) -> str:
-    return f"round(CAST(count({x}) AS DOUBLE), 6) AS count, round(min({x}), 6) AS min, round(max({x}), 6) AS max, round(avg({x}), 6) AS mean, round(stddev_pop({x}), 6) AS std, " + ", ".join(f"round(quantile_cont({x}, {p}), 6) AS {n}" for n, p in statistics.POINTS.items())
+    return f"round(CAST(count({x}) AS DOUBLE), 9) AS count, round(min({x}), 9) AS min, round(max({x}), 9) AS max, round(avg({x}), 9) AS mean, round(stddev_pop({x}), 9) AS std, " + ", ".join(f"round(quantile_cont({x}, {p}), 9) AS {n}" for n, p in statistics.POINTS.items())
 
 
 def _truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,11 +217,11 @@ def delta_restore(spark: SparkSession, folder: str) -> DataFrame:
 
 def delta_stats(spark: SparkSession, folder: str) -> DataFrame:
     out = deltas.pooled_delta_stats(_long(spark, folder), episode="episode_idx", joint="joint", t="t", action="a", state="s", steps=4)
-    return out.select("joint", "count", "n_samples", *(F.round(c, 6).alias(c) for c in ("mean", "std", "min", "max")))
+    return out.select("joint", "count", "n_samples", *(F.round(c, 9).alias(c) for c in ("mean", "std", "min", "max")))
 
 
 DELTA_STATS_SQL = "WITH " + LONG_SQL + """, x AS (SELECT joint, s, unnest([0, 1, 2, 3]) AS k, unnest([a, lead(a, 1) OVER w, lead(a, 2) OVER w, lead(a, 3) OVER w]) AS a FROM lng WINDOW w AS (PARTITION BY episode_idx, joint ORDER BY t))
-SELECT joint, count(*) FILTER (k = 0) AS count, count(*) AS n_samples, round(avg(a - s), 6) AS mean, round(greatest(stddev_pop(a - s), 1e-6), 6) AS std, round(min(a - s), 6) AS min, round(max(a - s), 6) AS max FROM x WHERE a IS NOT NULL GROUP BY 1"""
+SELECT joint, count(*) FILTER (k = 0) AS count, count(*) AS n_samples, round(avg(a - s), 9) AS mean, round(greatest(stddev_pop(a - s), 1e-6), 9) AS std, round(min(a - s), 9) AS min, round(max(a - s), 9) AS max FROM x WHERE a IS NOT NULL GROUP BY 1"""
 
 
 def truth_delta(spark: SparkSession, folder: str) -> DataFrame:

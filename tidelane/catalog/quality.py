@@ -115,12 +115,12 @@ rep AS (SELECT episode, topic, role, n AS messages, CASE WHEN role = 'stream' AN
 
 def coverage_by_topic(spark: SparkSession, folder: str) -> DataFrame:
     r = _report(spark, folder)
-    return r.select("episode", "topic", "role", "messages", F.round("avg_fps", 6).alias("avg_fps"), F.size("gaps").cast("bigint").alias("gaps"), F.round("total_gap_s", 6).alias("total_gap_s"), F.round("longest_gap_s", 6).alias("longest_gap_s"), F.round("coverage", 6).alias("coverage"), "severity")
+    return r.select("episode", "topic", "role", "messages", F.round("avg_fps", 9).alias("avg_fps"), F.size("gaps").cast("bigint").alias("gaps"), F.round("total_gap_s", 9).alias("total_gap_s"), F.round("longest_gap_s", 9).alias("longest_gap_s"), F.round("coverage", 9).alias("coverage"), "severity")
 
 
 def coverage_gaps(spark: SparkSession, folder: str) -> DataFrame:
     g = _report(spark, folder).select("episode", "topic", F.explode("gaps").alias("g"))
-    return g.select("episode", "topic", F.round("g.start_s", 6).alias("start_s"), F.round("g.end_s", 6).alias("end_s"), F.round("g.duration_s", 6).alias("duration_s"), "g.kind")
+    return g.select("episode", "topic", F.round("g.start_s", 9).alias("start_s"), F.round("g.end_s", 9).alias("end_s"), F.round("g.duration_s", 9).alias("duration_s"), "g.kind")
 
 
 def episode_severity(spark: SparkSession, folder: str) -> DataFrame:
@@ -265,8 +265,8 @@ EMPTY_SQL = "WITH f AS (SELECT DISTINCT frame_id, episode_idx, camera FROM frame
 QUERIES = {
     "topic_inventory": (topic_inventory, INVENTORY_SQL),
     "classify_roles": (classified_topics, CLASSIFIED_SQL),
-    "coverage_by_topic": (coverage_by_topic, "WITH " + REPORT_SQL + " SELECT episode, topic, role, messages, round(avg_fps, 6) AS avg_fps, gaps, round(total_gap_s, 6) AS total_gap_s, round(longest_gap_s, 6) AS longest_gap_s, round(coverage, 6) AS coverage, severity FROM rep"),
-    "coverage_gaps": (coverage_gaps, "WITH " + REPORT_SQL + " SELECT episode, topic, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, round(duration_s, 6) AS duration_s, kind FROM g"),
+    "coverage_by_topic": (coverage_by_topic, "WITH " + REPORT_SQL + " SELECT episode, topic, role, messages, round(avg_fps, 9) AS avg_fps, gaps, round(total_gap_s, 9) AS total_gap_s, round(longest_gap_s, 9) AS longest_gap_s, round(coverage, 9) AS coverage, severity FROM rep"),
+    "coverage_gaps": (coverage_gaps, "WITH " + REPORT_SQL + " SELECT episode, topic, round(start_s, 9) AS start_s, round(end_s, 9) AS end_s, round(duration_s, 9) AS duration_s, kind FROM g"),
     "episode_severity": (episode_severity, SEVERITY_SQL),
     "rate_degradation_loo": (rate_degradation, DEGRADATION_SQL),
     "rate_check_severities": (rate_checked, CHECKED_SQL),
