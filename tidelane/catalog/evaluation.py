@@ -28,11 +28,11 @@ def _pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _round(columns: list[str]) -> list[Column]:
-    return [F.round(c, 9).alias(c) for c in columns]
+    return [F.round(c, 10).alias(c) for c in columns]
 
 
 def _round_sql(columns: list[str]) -> str:
-    return ", ".join(f"round({c}, 9) AS {c}" for c in columns)
+    return ", ".join(f"round({c}, 10) AS {c}" for c in columns)
 
 
 def episode_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,7 +40,7 @@ def episode_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def joint_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.joint_metrics(_pairs(spark, folder)).select("episode_idx", "joint", "frames", *_round(["mse", "mae", "rmse", "bias"]))
+    return metrics.joint_metrics(_pairs(spark, folder)).select("episode_idx", "joint", "frames", F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse"), *_round(["mae", "bias"]))
 
 
 def _split_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,7 +57,7 @@ SPLIT_SCORES_SQL = (
     "WITH "
     + EPISODE_SQL
     + ", sp AS (SELECT episode_idx, min(split_label) AS split FROM predictions GROUP BY 1) SELECT split, count(*) AS episodes, "
-    + ", ".join(f"round({f}({m}), 9) AS {m}_{n}" for m in ("mse", "mae", "cosine_similarity") for f, n in (("avg", "mean"), ("stddev_pop", "std")))
+    + ", ".join(f"round({f}({m}), 10) AS {m}_{n}" for m in ("mse", "mae", "cosine_similarity") for f, n in (("avg", "mean"), ("stddev_pop", "std")))
     + " FROM em JOIN sp USING (episode_idx) GROUP BY GROUPING SETS ((), (split))"
 )
 
@@ -67,7 +67,7 @@ def score_table(spark: SparkSession, folder: str) -> DataFrame:
     return wide.select("episode_idx", *_round([f"mae_{j}" for j in JOINTS]))
 
 
-TABLE_SQL = "WITH " + PAIRS_SQL + " SELECT episode_idx, " + ", ".join(f"round(avg(abs(err)) FILTER (joint = '{j}'), 9) AS mae_{j}" for j in JOINTS) + " FROM pr GROUP BY 1"
+TABLE_SQL = "WITH " + PAIRS_SQL + " SELECT episode_idx, " + ", ".join(f"round(avg(abs(err)) FILTER (joint = '{j}'), 10) AS mae_{j}" for j in JOINTS) + " FROM pr GROUP BY 1"
 
 
 def score_spread(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,17 +77,17 @@ def score_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 SPREAD_SQL = "WITH " + PAIRS_SQL + """, m AS (SELECT episode_idx, joint, avg(abs(err)) AS mae FROM pr GROUP BY 1, 2), sp AS (SELECT episode_idx, min(split_label) AS split FROM predictions GROUP BY 1),
 q AS (SELECT split, joint, quantile_cont(mae, 0.25) AS q25, quantile_cont(mae, 0.5) AS q50, quantile_cont(mae, 0.75) AS q75, count(*) AS episodes FROM m JOIN sp USING (episode_idx) GROUP BY 1, 2)
-SELECT split, joint, any_value(episodes) AS episodes, count(*) FILTER (mae < q25 - 1.5 * (q75 - q25) OR mae > q75 + 1.5 * (q75 - q25)) AS outliers, round(any_value(q25), 9) AS q25, round(any_value(q50), 9) AS q50, round(any_value(q75), 9) AS q75
+SELECT split, joint, any_value(episodes) AS episodes, count(*) FILTER (mae < q25 - 1.5 * (q75 - q25) OR mae > q75 + 1.5 * (q75 - q25)) AS outliers, round(any_value(q25), 10) AS q25, round(any_value(q50), 10) AS q50, round(any_value(q75), 10) AS q75
 FROM m JOIN sp USING (episode_idx) JOIN q USING (split, joint) GROUP BY 1, 2"""
 
 
 def losses(spark: SparkSession, folder: str) -> DataFrame:
     """Validation loss of each split: unweighted mean of batches of eight evaluations."""
     rows = table(spark, folder, "episode_metrics").select("eval_id", "split_label", "mse").where(F.col("split_label").isNotNull()).distinct()
-    return metrics.batch_loss(rows, "split_label", "eval_id", "mse", 8).select("split_label", "batches", F.round("loss", 9).alias("loss"))
+    return metrics.batch_loss(rows, "split_label", "eval_id", "mse", 8).select("split_label", "batches", F.round("loss", 10).alias("loss"))
 
 
-LOSS_SQL = "WITH r AS (SELECT split_label, mse, (row_number() OVER (PARTITION BY split_label ORDER BY eval_id) - 1) // 8 AS b FROM (SELECT DISTINCT eval_id, split_label, mse FROM episode_metrics WHERE split_label IS NOT NULL)), m AS (SELECT split_label, b, avg(mse) AS m FROM r GROUP BY 1, 2) SELECT split_label, count(*) AS batches, round(avg(m), 9) AS loss FROM m GROUP BY 1"
+LOSS_SQL = "WITH r AS (SELECT split_label, mse, (row_number() OVER (PARTITION BY split_label ORDER BY eval_id) - 1) // 8 AS b FROM (SELECT DISTINCT eval_id, split_label, mse FROM episode_metrics WHERE split_label IS NOT NULL)), m AS (SELECT split_label, b, avg(mse) AS m FROM r GROUP BY 1, 2) SELECT split_label, count(*) AS batches, round(avg(m), 10) AS loss FROM m GROUP BY 1"
 
 
 def split_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,7 +268,7 @@ def annotated(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "episode_metrics": (episode_scores, "WITH " + EPISODE_SQL + " SELECT episode_idx, num_frames, max_abs_error_joint, " + _round_sql(METRICS) + " FROM em"),
-    "per_joint_metrics": (joint_scores, "WITH " + PAIRS_SQL + " SELECT episode_idx, joint, count(*) AS frames, round(avg(err * err), 9) AS mse, round(avg(abs(err)), 9) AS mae, round(sqrt(avg(err * err)), 9) AS rmse, round(avg(err), 9) AS bias FROM pr GROUP BY 1, 2"),
+    "per_joint_metrics": (joint_scores, "WITH " + PAIRS_SQL + " SELECT episode_idx, joint, count(*) AS frames, round(avg(err * err), 6) AS mse, round(avg(abs(err)), 10) AS mae, round(sqrt(avg(err * err)), 6) AS rmse, round(avg(err), 10) AS bias FROM pr GROUP BY 1, 2"),
     "metrics_by_split": (split_scores, SPLIT_SCORES_SQL),
     "metrics_table": (score_table, TABLE_SQL),
     "joint_spread": (score_spread, SPREAD_SQL),

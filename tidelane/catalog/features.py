@@ -14,11 +14,11 @@ LUMA_LEVELS = 256
 
 
 def _rounded(df: DataFrame, keys: list[str], stats: list[str] = STATS) -> DataFrame:
-    return df.select(*keys, *(F.round(F.col(s).cast("double"), 9).alias(s) for s in stats))
+    return df.select(*keys, *(F.round(F.col(s).cast("double"), 10).alias(s) for s in stats))
 
 
 def _stats_sql(x: str) -> str:
-    return f"round(CAST(count({x}) AS DOUBLE), 9) AS count, round(min({x}), 9) AS min, round(max({x}), 9) AS max, round(avg({x}), 9) AS mean, round(stddev_pop({x}), 9) AS std, " + ", ".join(f"round(quantile_cont({x}, {p}), 9) AS {n}" for n, p in statistics.POINTS.items())
+    return f"round(CAST(count({x}) AS DOUBLE), 10) AS count, round(min({x}), 10) AS min, round(max({x}), 10) AS max, round(avg({x}), 10) AS mean, round(stddev_pop({x}), 10) AS std, " + ", ".join(f"round(quantile_cont({x}, {p}), 10) AS {n}" for n, p in statistics.POINTS.items())
 
 
 def _truth(spark: SparkSession, folder: str) -> DataFrame:
