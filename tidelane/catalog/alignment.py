@@ -152,6 +152,35 @@ m AS (SELECT episode, t * 33 AS ts, ground_truth AS truth FROM p WHERE ground_tr
 """ + NEAR_SQL.format(out="o", m="m", d="d", p="r") + " SELECT episode, ts, rts - ts AS dt, round(truth, 6) AS truth, round(rvalue, 6) AS predicted FROM o WHERE rts IS NOT NULL"
 
 
+def _arm_vectors(spark: SparkSession, folder: str, column: str, late: int = 0) -> DataFrame:
+    """(episode, arm, ts, seq, values): all joints of an arm in a frame, in the order of their names; frames without any value are left out.
+
+    Copies go inside the frame's list and the key is the final stamp, so that one shuffle does for the as-of join's first arrivals too.
+    """
+    arm = F.substring_index("joint", "_", 1)
+    # As in _arms the right arm's samples come 4 ms late.
+    ts = F.col("t") * 33 + late + F.when(arm == "right", 4).otherwise(0)
+    rows = table(spark, folder, "predictions").select(F.col("episode_idx").alias("episode"), arm.alias("arm"), ts.alias("ts"), "t", F.struct("joint", F.col(column).alias("value")).alias("j"))
+    vectors = rows.groupBy("episode", "arm", "ts").agg(F.min("t").alias("seq"), F.array_sort(F.array_distinct(F.collect_list("j"))).alias("j"), F.count("j.value").alias("n")).where("n > 0")
+    return vectors.select("episode", "arm", "ts", "seq", F.col("j.value").alias("values"))
+
+
+def vectors_sql(name: str, column: str, late: int = 0) -> str:
+    return f"""{name} AS (SELECT episode_idx AS e, split_part(joint, '_', 1) AS arm, concat(episode_idx, '/', split_part(joint, '_', 1)) AS episode, t * 33 + {late} + CASE WHEN split_part(joint, '_', 1) = 'right' THEN 4 ELSE 0 END AS ts, t AS seq, list(x ORDER BY joint) AS value
+FROM (SELECT DISTINCT episode_idx, t, joint, {column} AS x FROM predictions) GROUP BY ALL HAVING count(x) > 0)"""
+
+
+def truth_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole vectors of every arm of every episode, each with the nearest raw output of the same arm, which comes 5 ms late."""
+    truth = _arm_vectors(spark, folder, "ground_truth")
+    late = _arm_vectors(spark, folder, "raw_output", 5)
+    return joins.pair_vectors(truth, late, by=["episode", "arm"], ts="ts", seq="seq").select("episode", "arm", "ts", "dt", "truth", "predicted")
+
+
+TRUTH_VECTORS_SQL = f"""WITH {vectors_sql('m', 'ground_truth')}, {vectors_sql('d', 'raw_output', 5)}, {NEAR_SQL.format(out='o', m='m', d='d', p='r')}
+SELECT e AS episode, arm, ts, rts - ts AS dt, value[1:least(len(value), len(rvalue))] AS truth, rvalue[1:least(len(value), len(rvalue))] AS predicted FROM o WHERE rts IS NOT NULL"""
+
+
 def fresh_readings(spark: SparkSession, folder: str) -> DataFrame:
     pairs = joins.asof(camera(spark, folder, "waist"), readings(spark, folder, "joint_states"), by=["episode"], ts="ts", seq="seq")
     return pairs.select("l.seq", joins.fresh(F.col("r.seq"), -F.col("dt"), 20_000_000).alias("reading"))
@@ -179,6 +208,7 @@ QUERIES = {
     "prev_sample_command": (previous, f"WITH {read_sql('j', 'joint_states')} SELECT episode, seq, value, coalesce(lag(value) OVER (PARTITION BY episode ORDER BY ts, seq), 0.0) AS command FROM j"),
     "arm_merge": (arms, ARMS_SQL),
     "pred_gt_align": (truth_pairs, TRUTH_SQL),
+    "pred_gt_vectors": (truth_vectors, TRUTH_VECTORS_SQL),
     "fresh_readings": (fresh_readings, CAUSAL_SQL.replace("d.seq AS reading, d.ts - m.ts AS dt", "CASE WHEN m.ts - d.ts <= 20000000 THEN d.seq END AS reading")),
     "session_rates": (session_rates, "SELECT dataset, min(avg_fps) AS rate, min(avg_fps) <> max(avg_fps) AS mixed FROM topic_reports WHERE avg_fps > 0 AND NOT isnan(avg_fps) AND role = 'stream' GROUP BY 1"),
     "drop_broken_episodes": (unbroken, "WITH f AS (SELECT DISTINCT frame_id, episode_idx, stamp_ns FROM frames) SELECT episode_idx, count(*) AS frames FROM f WHERE episode_idx NOT IN (SELECT episode_idx FROM f WHERE stamp_ns = 0) GROUP BY 1"),
