@@ -31,3 +31,10 @@ def test_pairs_of_whole_vectors_of_every_arm(spark, folder):
     vector = lambda arm, t: [number(t, arm, i) for i in range(3)]
     expected = {(e, arm, t * 33 + 4 * (arm == "right"), 5): (vector(arm, t), [-x for x in vector(arm, t)]) for e, arm in ((0, "left"), (0, "right"), (1, "right")) for t in range(4)}
     assert got == expected
+
+
+def test_arms_on_the_clock_of_the_first_that_an_episode_has(spark, folder):
+    got = {(r.episode, r.ts): r["values"] for r in query(spark, folder, "arm_merge_vectors").collect()}
+    vector = lambda arm, t: [number(t, arm, i) for i in range(3)]
+    # The right arm's samples come 4 ms late, so the nearest to frame t is its own.
+    assert got == {**{(0, t * 33): vector("left", t) + vector("right", t) for t in range(4)}, **{(1, t * 33 + 4): vector("right", t) for t in range(4)}}

@@ -181,6 +181,17 @@ TRUTH_VECTORS_SQL = f"""WITH {vectors_sql('m', 'ground_truth')}, {vectors_sql('d
 SELECT e AS episode, arm, ts, rts - ts AS dt, value[1:least(len(value), len(rvalue))] AS truth, rvalue[1:least(len(value), len(rvalue))] AS predicted FROM o WHERE rts IS NOT NULL"""
 
 
+def whole_arms(spark: SparkSession, folder: str) -> DataFrame:
+    """All joints of an episode's arms on the clock of the first arm that it has."""
+    vectors = _arm_vectors(spark, folder, "ground_truth")
+    arms = {arm: vectors.where(F.col("arm") == arm).drop("arm") for arm in ("left", "right")}
+    return joins.merge_rigs(arms, by=["episode"], ts="ts", seq="seq").select("episode", "ts", "values")
+
+
+WHOLE_ARMS_SQL = f"""WITH {vectors_sql('v', 'ground_truth')}, h AS (SELECT e, min(arm) AS arm FROM v GROUP BY 1), m AS (SELECT v.e AS episode, ts, seq, value FROM v JOIN h ON v.e = h.e AND v.arm = h.arm),
+d AS (SELECT v.e AS episode, ts, seq, value FROM v JOIN h ON v.e = h.e AND v.arm > h.arm), {NEAR_SQL.format(out='o', m='m', d='d', p='r')} SELECT episode, ts, CASE WHEN rts IS NULL THEN value ELSE list_concat(value, rvalue) END AS values FROM o"""
+
+
 def fresh_readings(spark: SparkSession, folder: str) -> DataFrame:
     pairs = joins.asof(camera(spark, folder, "waist"), readings(spark, folder, "joint_states"), by=["episode"], ts="ts", seq="seq")
     return pairs.select("l.seq", joins.fresh(F.col("r.seq"), -F.col("dt"), 20_000_000).alias("reading"))
@@ -207,6 +218,7 @@ QUERIES = {
     "stride_downsample": (strided, STRIDE_SQL),
     "prev_sample_command": (previous, f"WITH {read_sql('j', 'joint_states')} SELECT episode, seq, value, coalesce(lag(value) OVER (PARTITION BY episode ORDER BY ts, seq), 0.0) AS command FROM j"),
     "arm_merge": (arms, ARMS_SQL),
+    "arm_merge_vectors": (whole_arms, WHOLE_ARMS_SQL),
     "pred_gt_align": (truth_pairs, TRUTH_SQL),
     "pred_gt_vectors": (truth_vectors, TRUTH_VECTORS_SQL),
     "fresh_readings": (fresh_readings, CAUSAL_SQL.replace("d.seq AS reading, d.ts - m.ts AS dt", "CASE WHEN m.ts - d.ts <= 20000000 THEN d.seq END AS reading")),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelane.functions.integers import floor_div, usable_stamp
+from tidelane.plans.joins import join_null_safe
 
 #: Width of a bucket in units of the stamps: with nanoseconds a minute.
 BUCKET = 60_000_000_000
@@ -118,6 +119,19 @@ def merge_arms(arms: dict[str, DataFrame], *, by: list[str], ts: str, seq: str)
     return out
 
 
+def merge_rigs(arms: dict[str, DataFrame], *, by: list[str], ts: str, seq: str) -> DataFrame:
+    """As ``merge_arms``, but a group's clock is the first arm that it has, so a group without the first arm of all is kept."""
+    names = sorted(arms)
+    arms = {n: arms[n].where(usable_stamp(F.col(ts))) for n in names}
+    out = merge_arms(arms, by=by, ts=ts, seq=seq)
+    earlier = arms[names[0]].select(*by)
+    for i, name in enumerate(names[1:], 1):
+        alone = join_null_safe(arms[name], earlier.distinct(), by, "left_anti")
+        out = out.unionByName(merge_arms({name: alone, **{n: arms[n] for n in names[i + 1 :]}}, by=by, ts=ts, seq=seq))
+        earlier = earlier.unionByName(arms[name].select(*by))
+    return out
+
+
 def pair_vectors(truth: DataFrame, predicted: DataFrame, *, by: list[str], ts: str, seq: str) -> DataFrame:
     """Each ground-truth vector with the nearest prediction, both cut to the shorter length."""
     pairs = asof(truth, predicted, by=by, ts=ts, seq=seq, mode="nearest").where(F.col("r").isNotNull())
