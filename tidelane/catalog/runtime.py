@@ -40,6 +40,21 @@ SELECT episode_idx, joint, t, round(CASE WHEN ok THEN avg(st) OVER l END, 9) AS
 round(CASE WHEN ok THEN 100 * avg(CAST(c AS INTEGER)) OVER (PARTITION BY episode_idx, joint ORDER BY t ROWS UNBOUNDED PRECEDING) END, 9) AS clamped_pct FROM k WINDOW l AS (PARTITION BY episode_idx, joint ORDER BY t ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)"""
 
 
+def whole_smoothness(spark: SparkSession, folder: str) -> DataFrame:
+    """Smoothness of each episode's observed motion over the last 100 steps: the length of the step of all joints; a frame counts as clamped if any joint's own step is beyond 0.02."""
+    rows = table(spark, folder, "predictions").where(F.col("predicted").isNotNull()).select("episode_idx", "joint", "t", "predicted").distinct()
+    rows = rows.withColumn("d", F.col("predicted") - F.lag("predicted").over(Window.partitionBy("episode_idx", "joint").orderBy("t")))
+    frames = rows.groupBy("episode_idx", "t").agg(F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("step"), F.coalesce(F.max(F.abs("d")) > 0.02, F.lit(False)).alias("clamped"))
+    out = runtime.rolling_smoothness(frames, by=["episode_idx"], order="t", vector_step="step", clamped="clamped")
+    return out.select("episode_idx", "t", *(F.round(c, 9).alias(c) for c in ("step_mean", "step_std", "step_max", "jerk_mean", "jerk_max", "clamped_pct")))
+
+
+WHOLE_SMOOTH_SQL = """WITH r AS (SELECT DISTINCT episode_idx, joint, t, predicted AS p FROM predictions WHERE predicted IS NOT NULL), d AS (SELECT episode_idx, t, p - lag(p) OVER (PARTITION BY episode_idx, joint ORDER BY t) AS d FROM r),
+s AS (SELECT episode_idx, t, sqrt(sum(d * d)) AS st, coalesce(max(abs(d)) > 0.02, false) AS c FROM d GROUP BY 1, 2), k AS (SELECT *, abs(st - lag(st) OVER w) AS j, count(st) OVER (w ROWS UNBOUNDED PRECEDING) >= 2 AS ok FROM s WINDOW w AS (PARTITION BY episode_idx ORDER BY t))
+SELECT episode_idx, t, round(CASE WHEN ok THEN avg(st) OVER l END, 9) AS step_mean, round(CASE WHEN ok THEN stddev_pop(st) OVER l END, 9) AS step_std, round(CASE WHEN ok THEN max(st) OVER l END, 9) AS step_max, round(CASE WHEN ok THEN avg(j) OVER l END, 9) AS jerk_mean, round(CASE WHEN ok THEN max(j) OVER l END, 9) AS jerk_max,
+round(CASE WHEN ok THEN 100 * avg(CAST(c AS INTEGER)) OVER (PARTITION BY episode_idx ORDER BY t ROWS UNBOUNDED PRECEDING) END, 9) AS clamped_pct FROM k WINDOW l AS (PARTITION BY episode_idx ORDER BY t ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)"""
+
+
 def latency(spark: SparkSession, folder: str) -> DataFrame:
     out = runtime.rolling_latency(_events(spark, folder), by=["user_id"], order="event_id", latency="value", window=50)
     return out.select("event_id", *(F.round(c, 9).alias(c) for c in ("latency_mean", "latency_std", "latency_max")))
@@ -293,6 +308,7 @@ def published(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "smoothness_rolling": (smoothness, SMOOTH_SQL),
+    "smoothness_vectors": (whole_smoothness, WHOLE_SMOOTH_SQL),
     "latency_rolling": (latency, LATENCY_SQL),
     "counter_rates": (counters, COUNTER_SQL),
     "rate_windows": (windows, WINDOW_SQL),
