@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from tidelane.llm import similar_examples
 from tidelane.llm.abusive import fit_examples, isotonic, offence_rates, score_documents
 from tidelane.llm.passages import LONGEST, grams, passages, squash
 from tidelane.llm.similar_examples import SHARE, BlockMaxIndex, known_terms, vocabulary
@@ -22,6 +23,28 @@ def test_passages_of_long_mixed_and_empty_texts():
     assert max(map(len, parts)) <= LONGEST and len(parts) > 50
 
 
+def test_text_in_brackets_is_read():
+    assert passages("hello <you are a stupid worthless person> bye") == ["helo", "youareastupidworthlesperson", "bye"]
+    assert passages('see <div title="you are vermin"> here') == ["se", "titleyouarevermin", "here"]
+    assert passages("if a <b and you are vermin> ok") == ["ifa", "andyouarevermin", "ok"]
+    assert passages("a <B>mo</b>ron <p>you</P>") == ["amoron", "you"]
+    assert passages("<你是個廢物>") == ["你是個廢物"]
+
+
+def test_index_keeps_within_its_bounds(spark, monkeypatch):
+    monkeypatch.setattr(similar_examples, "MOST_PAIRS", 1 << 10)
+    entries = sorted({f"entry{chr(97 + i % 26)}{chr(97 + i // 26)}xyz" for i in range(300)})
+    terms = vocabulary(entries)
+    index = BlockMaxIndex(entries, terms, np.ones(len(terms)), 300)
+    assert index.blocks * len(terms) <= max(1 << 10, len(terms))
+    found, score = index.nearest(entries, 3)
+    assert list(found[:, 0]) == list(range(len(entries))) and np.allclose(score[:, 0], 1, atol=1e-5)
+    docs, truth = corpus(6, 40)
+    labels = spark.createDataFrame([(i, "yes" if truth[i] else "no") for i in range(40)], "doc_id long, offensive string")
+    model = fit_examples(spark.createDataFrame(docs, "doc_id long, text string, source string"), labels, most_letters=200)
+    assert 0 < sum(map(len, model.index.entries)) <= 200
+
+
 def test_grams_by_hand():
     hashes, owner = grams(["abcde", "ab", "你好嗎", ""])
     assert list(np.bincount(owner, minlength=4)) == [2, 1, 2, 0]

@@ -2,6 +2,7 @@
 
 import importlib
 import os
+from collections import Counter
 
 import pytest
 
@@ -18,9 +19,60 @@ def test_equals_sql(spark, name):
     compare(spark, FOLDER, *QUERIES[name])
 
 
-@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if not sql))
-def test_runs(spark, name):
-    assert QUERIES[name][0](spark, FOLDER).count() >= 0
+def rows_of(spark, name):
+    return QUERIES[name][0](spark, FOLDER).collect()
+
+
+@pytest.fixture(scope="module")
+def sizes(spark):
+    """(doc_id, source, tokens) of all documents, by the other encoder of the same vocabulary."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    tokenizer.encode_special_tokens = True
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "source", "text").collect()
+    return [(d.doc_id, d.source, len(tokenizer.encode(d.text or "", add_special_tokens=False).ids)) for d in docs]
+
+
+def test_packing_of_all_documents(spark, sizes):
+    assert {r.doc_id for r in rows_of(spark, "p8_found")} == {d for d, _, n in sizes if n > 4096}
+    of_doc, of_bin = Counter(), Counter()
+    for r in rows_of(spark, "p8_packing"):
+        of_doc[int(r.doc_id)] += r.tokens
+        of_bin[r.bin] += r.tokens
+    assert of_doc == Counter({d: n for d, _, n in sizes}) and max(of_bin.values()) <= 4096
+    (report,) = rows_of(spark, "p8_fill")
+    assert report.tokens == sum(of_bin.values()) and report.containers == len(of_bin)
+    # No packing needs fewer containers than the tokens fill; this one needs at most a twentieth more.
+    assert report.containers <= 1.05 * -(-report.tokens // 4096) + 1
+
+
+def test_mixture_of_all_documents(spark, sizes):
+    targets = {r.source: r for r in spark.read.parquet(f"{FOLDER}/mix_targets.parquet").collect()}
+    total, have = sum(n for _, _, n in sizes), Counter()
+    for _, source, n in sizes:
+        have[source] += n
+    missed = {s for s, t in targets.items() if have[s] * t.max_repeats < t.target_share * total}
+    assert {r.source for r in rows_of(spark, "p9_found")} == missed
+    used, size = Counter(), {d: n for d, _, n in sizes}
+    for r in rows_of(spark, "p9_mixture"):
+        assert 1 <= r.repeats <= targets[r.source].max_repeats and size[r.doc_id] == r.tokens
+        used[r.source] += r.repeats * r.tokens
+    for r in rows_of(spark, "p9_report"):
+        assert r.reached == used[r.source] and r.missed == (r.source in missed)
+        aim = targets[r.source].target_share * total
+        assert r.reached == have[r.source] * r.max_repeats if r.missed else aim - max([n for _, s, n in sizes if s == r.source] or [0]) <= r.reached <= aim + 1
+
+
+def test_scores_of_all_documents(spark):
+    docs = {r.doc_id: r.source for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "source").collect()}
+    scores = rows_of(spark, "p10_scores")
+    assert sorted(r.doc_id for r in scores) == sorted(docs) and all(0 <= r.probability <= 1 for r in scores)
+    bad = {r.doc_id for r in scores if r.probability >= 0.5}
+    assert {r.doc_id for r in rows_of(spark, "p10_found")} == bad
+    rates = {r.source: r for r in rows_of(spark, "p10_rates")}
+    assert {s: r.offending for s, r in rates.items() if r.offending} == dict(Counter(docs[d] for d in bad))
+    assert sum(r.documents for r in rates.values()) == len(docs)
 
 
 def test_session_and_recording_keys(spark):

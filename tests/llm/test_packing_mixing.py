@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelane.llm import packing
-from tidelane.llm.mixing import mix, subset_sum
+from tidelane.llm.mixing import mix, plan_source, subset_sum
 from tidelane.llm.packing import Container, best_fit, fill_report, pack
+from tidelane.llm.tokens import LONG as LONG_TEXT
 from tidelane.llm.tokens import count_tokens, token_count
 
 BOX = Container(tokens=100, documents=12, attention=100.0**2)
@@ -58,6 +59,72 @@ def test_best_fit_prefers_the_tightest():
     assert list(best_fit(np.array([60, 30, 40, 70]), BOX)) == [1, 0, 1, 0]
 
 
+def naive_best_fit(sizes, box):
+    """Every open container is looked at for every item."""
+    rest, place = [], np.zeros(len(sizes), int)
+    for i in np.argsort(-sizes, kind="stable"):
+        s, best = float(sizes[i]), None
+        for n, (t, d, a) in enumerate(rest):
+            if t >= s and d >= 1 and a >= s * s:
+                left = (((t - s) / box.tokens) ** 2 * box.weights[0] + ((d - 1) / box.documents) ** 2 * box.weights[1] + ((a - s * s) / box.attention) ** 2 * box.weights[2])
+                best = (left, n) if best is None or left < best[0] - 1e-15 else best
+        n = len(rest) if best is None else best[1]
+        if best is None:
+            rest.append((box.tokens, box.documents, box.attention))
+        t, d, a = rest[n]
+        rest[n] = (t - s, d - 1, a - s * s)
+        place[i] = n
+    return place
+
+
+@pytest.mark.parametrize("box", [BOX, Container(tokens=100, documents=4, attention=100.0**2, weights=(1, 0.5, 0.5))])
+def test_best_fit_uses_as_few_containers_as_the_naive_one(box):
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        sizes = rng.choice([0, 1, 5, 20, 33, 50, 51, 70, 99, 100], 300)
+        got = best_fit(sizes, box)
+        assert abs(got.max() - naive_best_fit(sizes, box).max()) <= 1
+        for n in range(got.max() + 1):
+            mine = sizes[got == n]
+            assert len(mine) and mine.sum() <= box.tokens and len(mine) <= box.documents and (mine.astype(float) ** 2).sum() <= box.attention
+
+
+def test_leftovers_never_meet_in_one_group(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS", 100)
+    rng = random.Random(8)
+    sizes = [rng.randrange(1400, 2000) for _ in range(5000)]
+    rows = pack(spark.createDataFrame(list(enumerate(sizes)), "doc long, size long"), item="doc", tokens="size").collect()
+    groups, bins = defaultdict(int), {r.bin for r in rows}
+    for r in rows:
+        groups[r.bin.rsplit("-", 1)[0]] += 1
+    assert len(rows) == 5000 and max(groups.values()) <= 200
+    assert len(bins) <= 1.01 * (best_fit(np.array(sizes), Container()).max() + 1)
+
+
+def test_plan_with_documents_longer_than_the_spare_tokens():
+    assert plan_source(np.array([90_000]), np.array([2]), 100_000, 1)[1].tolist() == [1]
+    rng = random.Random(9)
+    for _ in range(40):
+        lengths = np.array(sorted(rng.sample(range(20_000, 200_000), 6)))
+        counts = np.array([rng.randrange(0, 4) for _ in lengths])
+        total = int((lengths * counts).sum())
+        budget, repeats = rng.randrange(1, 2 * total + 2), rng.randrange(1, 4)
+        whole, take = plan_source(lengths, counts, budget, repeats)
+        assert whole == (repeats if not total else min(repeats, budget // total))
+        assert (take <= counts).all() and (take >= 0).all()
+        if whole < repeats:
+            rest = budget - whole * total
+            reach = {0}
+            for size, n in zip(lengths, counts, strict=True):
+                reach = {r + int(size) * k for r in reach for k in range(n + 1) if r + int(size) * k <= rest}
+            fit = [(s, n) for s, n in zip(lengths, counts, strict=True) if s <= rest]
+            short = max(reach) - int((take * lengths).sum())
+            # Up to three of the longest documents are left to the knapsack alone; before, lengths keep their shares.
+            assert short == 0 if min(rest, sum(int(s * n) for s, n in fit)) <= 3 * max((s for s, _ in fit), default=0) else 0 <= short < 0.05 * rest
+        else:
+            assert not take.any()
+
+
 def test_subset_sum_is_the_best_possible():
     rng = random.Random(4)
     for _ in range(60):
@@ -106,6 +173,8 @@ def test_mixture_of_nothing(spark):
 
 def test_token_counts(spark):
     assert count_tokens(["", "hello world", "<|endoftext|>"])[:2] == [0, 2]
-    long = "word " * 50_000
+    long = "word " * 60_000
+    assert count_tokens([long[:LONG_TEXT - 1], long[:LONG_TEXT]])[1] - count_tokens([long[:LONG_TEXT - 1]])[0] in (0, 1)
+    assert count_tokens([" " * 1_600_000]) == [1_600_000]
     rows = spark.createDataFrame([("hello world",), ("",), (None,), (long,), ("你好",)], "t string").select(token_count(F.col("t")).alias("n")).collect()
     assert [r.n for r in rows][:3] == [2, 0, 0] and rows[3].n >= 50_000 and rows[4].n >= 2

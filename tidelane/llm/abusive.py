@@ -26,6 +26,8 @@ from tidelane.llm.similar_examples import BlockMaxIndex, known_terms, vocabulary
 #: Default bounds of the labelled sample that the classifier is fitted on (parameters of :func:`fit_examples`).
 MOST_LABELLED = 20_000
 MOST_PASSAGES = 300_000
+#: Letters of these passages: at most one n-gram each, so at most 48 MB of lists in the index (see BlockMaxIndex).
+MOST_LETTERS = 1 << 22
 NEIGHBOURS = 12
 #: Weight of a neighbour: cosine to this power, times its documents up to this many.
 POWER = 4
@@ -150,16 +152,17 @@ def corpus_counts(documents: DataFrame, text: str, terms: np.ndarray) -> tuple[n
     return seen, int(sums.loc[sums["term"] < 0, "n"].sum())
 
 
-def fit_examples(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", label: str = "offensive", most_labelled: int = MOST_LABELLED, most_passages: int = MOST_PASSAGES) -> ExampleModel:
+def fit_examples(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", label: str = "offensive", most_labelled: int = MOST_LABELLED, most_passages: int = MOST_PASSAGES, most_letters: int = MOST_LETTERS) -> ExampleModel:
     """Fit on the labelled documents; corpus counts are over all documents.
 
     The labelled sample is bounded: at most ``most_labelled`` documents, chosen by the hash of their id, and of these at most
-    ``most_passages`` different passages in the same order.
+    ``most_passages`` different passages in the same order, up to ``most_letters`` letters in all.
 
     Labels in unknown spellings, of null ids or of documents that don't exist are left out; several labels of a document
     are averaged.  Without labels the model scores everything 0.
     """
     rows = _labelled_passages(documents, labels, doc_id=doc_id, text=text, label_id=label_id, label=label, most_labelled=most_labelled, most_passages=most_passages).toPandas()
+    rows = rows[rows["passage"].str.len().cumsum() <= most_letters] if len(rows) else rows
     entries, entry = np.unique(rows["passage"].to_numpy(dtype=str), return_inverse=True) if len(rows) else (np.zeros(0, str), np.zeros(0, np.int64))
     names = [str(x) for x in entries]
     terms = vocabulary(names)

@@ -2,8 +2,8 @@
 
 Documents are counted by exact token length per source.  A source's budget is used up in three steps: all its documents
 as often as fits whole; of the rest, a share of every length so that the lengths stay mixed as they are; and what
-then remains (less than the longest document or so) by a bounded knapsack over the counts that are left, as a subset sum that
-comes as near to the budget as any.  Which documents of a length are taken is decided by a seeded hash order.
+then remains (``SPARE`` tokens or a few of the longest documents) by a bounded knapsack over the counts that are left, as a
+subset sum that comes as near to the budget as any.  Which documents of a length are taken is decided by a seeded hash order.
 """
 
 from __future__ import annotations
@@ -16,36 +16,42 @@ from pyspark.sql import functions as F
 
 from tidelane.plans.lineage import cut
 
-#: Largest remaining budget that the knapsack runs over, in tokens.
-KNAPSACK = 1 << 16
+#: Tokens left to the knapsack, if a few of the longest documents aren't more.
+SPARE = 1 << 14
+#: Longest documents that the knapsack has room for.
+LONGEST_LEFT = 3
 BINS_BITS = 12
 
 
 def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take so that the total is the largest possible that is at most ``budget``.
 
-    Bounded knapsack by dynamic programming over reachable totals; counts are divided into powers of two.
+    Bounded knapsack by dynamic programming over reachable totals, in units of the lengths' greatest common divisor;
+    counts are divided into powers of two.  Reachable totals are the bits of one number, so a step is a shift; about
+    five bytes a total are held, whatever the budget.
     """
     take = np.zeros(len(lengths), np.int64)
-    budget = int(budget)
-    if budget <= 0 or not len(lengths):
+    usable = np.flatnonzero((lengths > 0) & (lengths <= budget) & (counts > 0))
+    if not len(usable):
         return take
-    reach = np.zeros(budget + 1, bool)
-    reach[0] = True
-    by, step = np.full(budget + 1, -1, np.int64), []
-    for i in np.argsort(-lengths, kind="stable"):
-        size, left, k = int(lengths[i]), int(min(counts[i], budget // max(int(lengths[i]), 1))), 1
-        while size > 0 and left > 0 and not reach[budget]:
+    unit = int(np.gcd.reduce(lengths[usable]))
+    budget = min(int(budget) // unit, int((lengths[usable] * counts[usable]).sum()) // unit)
+    within = (1 << (budget + 1)) - 1
+    reach, step = 1, []
+    by = np.full(budget + 1, -1, np.int32)
+    for i in usable[np.argsort(-lengths[usable], kind="stable")]:
+        size, k = int(lengths[i]) // unit, 1
+        left = min(int(counts[i]), budget // size)
+        while left > 0 and not reach >> budget:
             n = min(k, left)
-            weight = size * n
-            fresh = np.zeros_like(reach)
-            fresh[weight:] = reach[: budget + 1 - weight]
-            fresh &= ~reach
-            by[fresh] = len(step)
-            step.append((i, n, weight))
-            reach |= fresh
+            fresh = (reach << (size * n)) & within & ~reach
+            if fresh:
+                bits = np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), np.uint8)
+                by[np.flatnonzero(np.unpackbits(bits, bitorder="little"))] = len(step)
+                step.append((i, n, size * n))
+                reach |= fresh
             left, k = left - n, k * 2
-    at = int(np.flatnonzero(reach)[-1])
+    at = reach.bit_length() - 1
     while at:
         i, n, weight = step[by[at]]
         take[i] += n
@@ -53,31 +59,30 @@ def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return take
 
 
-def _plan(lengths: np.ndarray, counts: np.ndarray, budget: int, repeats: int) -> tuple[int, np.ndarray]:
-    """Whole repeats of all documents, and how many of each length once more."""
+def plan_source(lengths: np.ndarray, counts: np.ndarray, budget: int, repeats: int) -> tuple[int, np.ndarray]:
+    """Whole repeats of all documents, and how many of each length (ascending) once more."""
     total = int((lengths * counts).sum())
     whole = repeats if total == 0 else min(repeats, budget // total)
     take = np.zeros(len(lengths), np.int64)
     rest = budget - whole * total
-    if whole < repeats and rest > 0 and total:
-        aim = rest - KNAPSACK // 4
-        if aim > 0:
-            # Shares of every length; the running remainder carries what rounding leaves to the next length.
-            upto = np.cumsum(lengths * counts) * (aim / total)
-            taken = 0
-            for i in range(len(lengths)):
-                if lengths[i] > 0:
-                    take[i] = min(counts[i], max(0, int((upto[i] - taken) // lengths[i])))
-                    taken += int(take[i] * lengths[i])
-            rest -= taken
-        # A remainder beyond the knapsack is first lowered by the longest documents that are left.
-        for i in np.argsort(-lengths, kind="stable"):
-            if rest <= KNAPSACK:
-                break
-            more = int(min(counts[i] - take[i], max(0, (rest - KNAPSACK // 2) // max(int(lengths[i]), 1)))) if lengths[i] else 0
-            take[i] += more
-            rest -= more * int(lengths[i])
-        take += subset_sum(lengths, counts - take, rest if rest <= KNAPSACK else 0)
+    if whole == repeats or rest <= 0 or not total:
+        return int(whole), take
+    # Documents longer than the rest can't be in it; of the others the longest ones need room in the knapsack.
+    fit = lengths <= rest
+    lengths, counts = lengths[fit], counts[fit]
+    chosen = np.zeros(len(lengths), np.int64)
+    fitting = int((lengths * counts).sum())
+    aim = min(rest, fitting) - max(SPARE, LONGEST_LEFT * int(lengths[-1])) if len(lengths) else 0
+    if aim > 0:
+        # Shares of every length; the running remainder carries what rounding leaves to the next length, so
+        # that in the end less than the longest document remains of the aim.
+        upto = np.cumsum(lengths * counts) * (aim / fitting)
+        taken = 0
+        for i in np.flatnonzero(lengths > 0):
+            chosen[i] = min(counts[i], max(0, int((upto[i] - taken) // lengths[i])))
+            taken += int(chosen[i] * lengths[i])
+        rest -= taken
+    take[fit] = chosen + subset_sum(lengths, counts - chosen, rest)
     return int(whole), take
 
 
@@ -86,7 +91,7 @@ def mix(documents: DataFrame, targets: DataFrame, *, doc_id: str, source: str, t
 
     Returns (chosen, report).  ``chosen``: (doc_id, source, tokens, repeats) of the documents used, repeats at least 1.
     ``report``: per source of ``targets`` the available tokens and documents, the target, the tokens reached, the share of the mixture
-    that it got, and ``missed``: even all its documents repeated ``max_repeats`` times are less than its target.
+    that it got, and ``missed``: the plan uses all its documents ``max_repeats`` times and is still below the target.
 
     Defined cases: null or negative sizes count as 0, and documents of size 0 are taken only in whole repeats; null ids are documents;
     exact copies (id, source, tokens) count once; documents of other sources (or none) count only for the
@@ -107,7 +112,7 @@ def mix(documents: DataFrame, targets: DataFrame, *, doc_id: str, source: str, t
         part = part.filter(pc.is_valid(part["size"])).sort_by("size")
         whole, extra = 0, np.zeros(0, np.int64)
         if part.num_rows:
-            whole, extra = _plan(part["size"].to_numpy(), part["n"].to_numpy(), int(np.floor(part["budget"][0].as_py() + 0.5)), part["cap"][0].as_py())
+            whole, extra = plan_source(part["size"].to_numpy(), part["n"].to_numpy(), int(np.floor(part["budget"][0].as_py() + 0.5)), part["cap"][0].as_py())
         return part.select(["source", "size", "n"]).append_column("whole", pa.array(np.full(part.num_rows, whole, np.int64))).append_column("extra", pa.array(extra))
 
     plans = rows.groupBy("source").applyInArrow(plan, "source string, size long, n long, whole long, extra long")
@@ -119,10 +124,12 @@ def mix(documents: DataFrame, targets: DataFrame, *, doc_id: str, source: str, t
     bins = below.join(plans, ["source", "size"]).where((F.col("whole") > 0) | (F.col("below") < F.col("extra")))
     chosen = ranked.join(bins, ["source", "size", "bin"]).select("id", "source", "size", (F.col("whole") + (F.col("below") + F.col("rank") <= F.col("extra")).cast("bigint")).alias("repeats")).where("repeats > 0")
 
-    reached = plans.groupBy("source").agg(F.sum(F.col("size") * (F.col("n") * F.col("whole") + F.col("extra"))).alias("reached"))
+    reached = plans.groupBy("source").agg(F.max("whole").alias("whole"), F.sum(F.col("size") * (F.col("n") * F.col("whole") + F.col("extra"))).alias("reached"))
     own = counts.groupBy("source").agg(F.sum("n").alias("documents"), F.sum(F.col("size") * F.col("n")).alias("available"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     report = aims.join(own, "source", "left").join(reached, "source", "left")
-    report = report.select("source", F.col("share").alias("target_share"), F.col("cap").alias("max_repeats"), zero("documents").alias("documents"), zero("available").alias("available"), F.col("budget").alias("target_tokens"), zero("reached").alias("reached"), (zero("available") * F.col("cap") < F.col("budget")).alias("missed"))
+    # Missed: the plan has used everything as often as allowed and is still below the target.
+    missed = (F.coalesce("whole", "cap") >= F.col("cap")) & (zero("reached") < F.col("budget"))
+    report = report.select("source", F.col("share").alias("target_share"), F.col("cap").alias("max_repeats"), zero("documents").alias("documents"), zero("available").alias("available"), F.col("budget").alias("target_tokens"), zero("reached").alias("reached"), missed.alias("missed"))
     report = report.withColumn("reached_share", F.try_divide("reached", F.sum("reached").over(Window.partitionBy())))
     return chosen.toDF(doc_id, source, tokens, "repeats"), report

@@ -5,12 +5,13 @@ each.  Items go, largest first, into the open container that keeps every capacit
 norm of what remains.  An item is divided only if it is longer than a container.
 
 Items are spread by hash over groups of about ``ITEMS`` items, and each group is packed on its own.  Containers a group
-leaves short of ``full`` are opened again and their items packed together with those of other groups, level by level,
-until one group is left.
+leaves short of ``full`` are opened again and their items spread anew over groups of that same size, level by level, as
+long as that saves containers.  No level has a group larger than the first level's, however much is left over.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,9 +25,11 @@ from pyspark.sql import types as T
 from tidelane.plans.lineage import cut
 
 #: Items a group has on average: a task's work and memory.
-ITEMS = 20_000
-#: Groups that one group of the next level takes the leftovers of.
-MERGED = 16
+ITEMS = 1 << 13
+#: Most tasks of a level; beyond, a task packs several groups one after the other.
+MOST_TASKS = 20_000
+#: Share of its containers that a level must save for another level to follow.
+GAIN = 0.02
 
 
 @dataclass(frozen=True)
@@ -46,35 +49,53 @@ class Container:
 
 
 def best_fit(sizes: np.ndarray, box: Container) -> np.ndarray:
-    """Container number of each item; ``sizes`` must not exceed the token capacity."""
+    """Container number of each item; ``sizes`` must not exceed the token capacity.
+
+    Containers too full for the item at hand sleep in a heap by what they have left; as items only get smaller,
+    each is woken once it fits again, and an item looks only at containers with room for its tokens.
+    """
     place = np.zeros(len(sizes), np.int64)
-    rest = np.zeros((len(sizes) + 1, 3))
-    scale = np.sqrt(np.array(box.weights)) / np.array([box.tokens, box.documents, box.attention])
-    whole = np.array([box.tokens, box.documents, box.attention], float)
-    open_, opened = np.zeros(0, np.int64), 0
-    order = np.argsort(-sizes, kind="stable")
-    smallest = sizes.min() if len(sizes) else 0
-    for item in order:
-        need = np.array([sizes[item], 1.0, float(sizes[item]) ** 2])
-        left = rest[open_] - need
-        fits = (left >= 0).all(1)
-        if fits.any():
-            norm = ((left[fits] * scale) ** 2).sum(1)
-            box_no = open_[fits][np.argmin(norm)]
-        else:
-            box_no = opened
-            rest[opened] = whole
-            open_ = np.append(open_, opened)
-            opened += 1
-        rest[box_no] -= need
-        place[item] = box_no
-        if rest[box_no, 0] < smallest or rest[box_no, 1] < 1:
-            open_ = open_[open_ != box_no]
+    scale = np.array(box.weights) / np.array([box.tokens, box.documents, box.attention], float) ** 2
+    # What remains of each awake container, and its number; the first ``awake`` places are in use.
+    tokens, documents, attention = (np.zeros(len(sizes)) for _ in range(3))
+    number = np.zeros(len(sizes), np.int64)
+    awake, opened = 0, 0
+    asleep: list[tuple[float, int, float, float]] = []
+    for item in np.argsort(-sizes, kind="stable"):
+        size = float(sizes[item])
+        cost = size * size
+        while asleep and -asleep[0][0] >= size:
+            left, n, d, a = heapq.heappop(asleep)
+            tokens[awake], documents[awake], attention[awake], number[awake] = -left, d, a, n
+            awake += 1
+        at = -1
+        if awake:
+            t, d, a = tokens[:awake] - size, documents[:awake] - 1, attention[:awake] - cost
+            norm = scale[0] * t * t + scale[1] * d * d + scale[2] * a * a
+            norm[(t < 0) | (a < 0)] = np.inf
+            at = int(norm.argmin())
+            if norm[at] == np.inf:
+                at = -1
+        if at < 0:
+            at = awake
+            tokens[at], documents[at], attention[at], number[at] = box.tokens, box.documents, box.attention, opened
+            awake, opened = awake + 1, opened + 1
+        tokens[at] -= size
+        documents[at] -= 1
+        attention[at] -= cost
+        place[item] = number[at]
+        # A container without room for another item of this size sleeps (or is done with, if no document fits).
+        if tokens[at] < size or documents[at] < 1:
+            if documents[at] >= 1:
+                heapq.heappush(asleep, (-tokens[at], int(number[at]), documents[at], attention[at]))
+            awake -= 1
+            for column in (tokens, documents, attention, number):
+                column[at] = column[awake]
     return place
 
 
-def _pack_groups(box: Container, level: int, last: bool) -> object:
-    """Rows sorted by group to packed rows: bin, and whether it is closed for good."""
+def _pack_groups(box: Container, level: int) -> object:
+    """Rows sorted by group to packed rows: bin, and whether it is full."""
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
         group = batch.column(0)[0].as_py()
@@ -84,9 +105,9 @@ def _pack_groups(box: Container, level: int, last: bool) -> object:
         place = np.empty(len(size), np.int64)
         place[order] = best_fit(size[order], box)
         filled = np.bincount(place, size)
-        closed = np.full(len(size), True) if last else (filled >= box.full * box.tokens)[place]
+        full = (filled >= box.full * box.tokens)[place]
         names = np.char.add(f"{level}-{group}-", place.astype(str)) if len(place) else np.zeros(0, str)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(closed)], names=[*batch.schema.names, "bin", "closed"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(full)], names=[*batch.schema.names, "bin", "full"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -118,18 +139,25 @@ def pack(items: DataFrame, *, item: str, tokens: str, box: Container | None = No
     whole = F.lit(box.tokens).cast("bigint")
     parts = F.greatest(F.call_function("div", F.col("size") + whole - 1, whole), F.lit(1))
     pieces = cut(rows.select("item", F.posexplode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part", "_n"), F.col("size").alias("all")).select("item", "part", F.least(whole, F.col("all") - F.col("_n") * whole).alias("size"), F.xxhash64("item", "part", "all").alias("h")))
-    groups = max(1, math.ceil(pieces.count() / ITEMS))
-    schema = T.StructType([T.StructField("g", T.IntegerType()), T.StructField("item", T.StringType()), T.StructField("part", T.IntegerType()), T.StructField("size", T.LongType()), T.StructField("h", T.LongType()), T.StructField("bin", T.StringType()), T.StructField("closed", T.BooleanType())])
-    packed, todo, level = None, pieces, 0
+    schema = T.StructType([T.StructField("g", T.LongType()), T.StructField("item", T.StringType()), T.StructField("part", T.IntegerType()), T.StructField("size", T.LongType()), T.StructField("h", T.LongType()), T.StructField("bin", T.StringType()), T.StructField("full", T.BooleanType())])
+    packed, todo, level, before = None, pieces, 0, math.inf
+    count = pieces.count()
     while True:
-        spread = todo.select(F.pmod("h", F.lit(groups)).cast("int").alias("g"), "item", "part", "size", "h")
-        last = groups == 1
-        done = cut(spread.repartition("g").sortWithinPartitions("g").mapInArrow(_pack_groups(box, level, last), schema))
-        closed = done.where("closed")
-        packed = closed if packed is None else packed.unionByName(closed)
-        if last:
+        groups = max(1, math.ceil(count / ITEMS))
+        spread = todo.select(F.pmod(F.xxhash64("h", F.lit(level)), F.lit(groups)).alias("g"), "item", "part", "size", "h")
+        tasks = min(groups, MOST_TASKS)
+        by_task = spread.repartitionById(tasks, F.pmod("g", F.lit(tasks)).cast("int")).sortWithinPartitions("g")
+        done = cut(by_task.mapInArrow(_pack_groups(box, level), schema))
+        each = done.groupBy("bin").agg(F.max("full").alias("full"), F.count(F.lit(1)).alias("n"))
+        now = each.agg(F.count(F.lit(1)).alias("bins"), F.count_if(~F.col("full")).alias("open"), F.coalesce(F.sum(F.when(~F.col("full"), F.col("n"))), F.lit(0)).alias("left")).first()
+        # One group has seen all there is; and a level that saved next to nothing is the last.
+        if groups == 1 or not now["left"] or now["bins"] > before * (1 - GAIN):
+            last = done if now["bins"] <= before else todo
+            packed = last if packed is None else packed.unionByName(last)
             break
-        todo, groups, level = done.where("not closed"), max(1, groups // MERGED), level + 1
+        full = done.where("full")
+        packed = full if packed is None else packed.unionByName(full)
+        todo, count, level, before = done.where("not full"), now["left"], level + 1, now["open"]
     return packed.select(F.col("item").alias(item), "part", (F.col("part") * whole).alias("first_token"), F.col("size").alias("tokens"), "bin")
 
 

@@ -15,8 +15,15 @@ LOOKALIKE = {
 #: Signs that stand for letters inside a word.
 SIGN = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "€": "e", "|": "i"}
 
-#: Ends of lines and sentences (also glued ones), and markup.
-_SPLIT = re.compile(r"[\r\n\u2028\u2029]+|(?<=[.!?;:])\s+|(?<=[a-z]{3}[.!?;])(?=[A-Z\u2e80-\uffff])|(?<=[。！？；])|</?[a-zA-Z][^<>]{0,200}>|<[^<>\s]{1,60}>")
+#: Names of markup, which say nothing; those of the first line stand inside words and sentences.
+INLINE = "b i u s em strong span font mark small big sub sup"
+BLOCK = "p br hr div ul ol li h1 h2 h3 h4 h5 h6 table tr td th thead tbody pre code a img html body head title script style section article header footer blockquote"
+_INLINE = re.compile(rf"</?(?:{INLINE.replace(' ', '|')})\s*/?>", re.IGNORECASE)
+#: Ends of lines and sentences (also glued ones), and brackets of markup: names of markup go, whatever else is between brackets stays.
+_SPLIT = re.compile(
+    r"[\r\n\u2028\u2029]+|(?<=[.!?;:])\s+|(?<=[a-z]{3}[.!?;])(?=[A-Z\u2e80-\uffff])|(?<=[。！？；])"
+    rf"|</?(?i:{INLINE.replace(' ', '|')}|{BLOCK.replace(' ', '|')})(?=[\s/>])|[<>]",
+)
 #: A sign between letters, or at the start of a word of at least four signs and letters.
 _SIGNED = re.compile(r"[a-z][0134 57@$€|]+[a-z]|^\W*[0134 57@$€|][a-z]{3}".replace(" ", ""))
 _WORD = re.compile(r"\S+")
@@ -52,9 +59,16 @@ def squash(passage: str) -> str:
 
 
 def passages(text: str | None) -> list[str]:
-    """The squashed passages of a whole text, empty ones left out; a very long one as overlapping parts."""
+    """The squashed passages of a whole text, empty ones left out; a very long one as overlapping parts.
+
+    Markup divides a text (inside a sentence it vanishes); only the names of tags are left out, so what stands in
+    an attribute, in brackets or in a comparison is read.
+    """
     out = []
-    for piece in _SPLIT.split(text or ""):
+    text = text or ""
+    if "<" in text:
+        text = _INLINE.sub("", text)
+    for piece in _SPLIT.split(text):
         s = squash(piece) if piece else ""
         if len(s) <= LONGEST:
             if s:

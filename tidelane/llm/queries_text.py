@@ -26,8 +26,9 @@ def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def divided_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that had to be cut."""
-    return packed_documents(spark, folder).where("part > 0").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    """Documents that had to be cut: their pieces lie in several sequences."""
+    spread = packed_documents(spark, folder).groupBy("doc_id").agg(F.min("bin").alias("a"), F.max("bin").alias("b")).where("a <> b")
+    return spread.select(F.col("doc_id").cast("bigint").alias("doc_id"))
 
 
 def packing_report(spark: SparkSession, folder: str) -> DataFrame:
