@@ -63,6 +63,7 @@ def test_splits_keep_components_whole_and_near_the_shares(spark):
     out = assign_splits(spark.createDataFrame(rows, "record string, component string"), {"train": 0.8, "val": 0.1, "test": 0.1}).collect()
     assert len(out) == len(rows)
     assert all(len(s) == 1 for s in ({r.split for r in out if r.component == c} for c in {r.component for r in out}))
+    assert {r.component for r in out} == {min(f"{c}-{i}" for i in range(n)) for c, n in enumerate(sizes)}
     share = Counter(r.split for r in out)
     assert abs(share["train"] / len(rows) - 0.8) < 0.13 and share["val"] and share["test"]
     assert assign_splits(spark.createDataFrame([], "record string, component string"), {"train": 1}).collect() == []
@@ -70,6 +71,18 @@ def test_splits_keep_components_whole_and_near_the_shares(spark):
         assign_splits(spark.createDataFrame(rows, "record string, component string"), {})
 
 
+def test_size_of_the_graph_changes_nothing(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, f"s{rng.randrange(260)}", f"r{rng.randrange(260)}" if rng.random() < 0.5 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "rec long, ses string, src string")
+    results = []
+    for small in (0, 500_000):
+        monkeypatch.setattr(related_splits, "SMALL_GRAPH", small)
+        members = record_components(df, "rec", [F.col("ses"), F.col("src")])
+        results.append(({tuple(r) for r in members.collect()}, {tuple(r) for r in assign_splits(members, {"train": 0.8, "val": 0.1, "test": 0.1}).collect()}))
+    assert results[0] == results[1] and len(results[0][1]) == 400
+
+
 def test_broken_components(spark):
     members = spark.createDataFrame([("1", "c"), ("2", "c"), ("3", "d")], "record string, component string")
     labels = spark.createDataFrame([(1, "train"), (2, "val"), (3, "test"), (9, "train"), (9, "val"), (None, "val"), (3, None)], "record long, split string")

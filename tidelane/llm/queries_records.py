@@ -91,6 +91,15 @@ def episode_splits(spark: SparkSession, folder: str) -> DataFrame:
     return splits.select(F.col("record").cast("bigint").alias("episode_idx"), "component", "split")
 
 
+SPLITS_SQL = BROKEN_SQL.split("m AS (")[0] + """p AS (SELECT DISTINCT x.e AS a, y.e AS b FROM k x JOIN k y USING (k)),
+reach AS (SELECT DISTINCT e AS a, e AS b FROM a UNION SELECT reach.a, p.b FROM reach JOIN p ON p.a = reach.b),
+named AS (SELECT a AS episode_idx, min(CAST(b AS VARCHAR)) AS component FROM reach GROUP BY a),
+size AS (SELECT component, count(*) AS n FROM named GROUP BY component),
+placed AS (SELECT component, (sum(n) OVER (ORDER BY md5(component), component) - n / 2) / sum(n) OVER () AS middle FROM size)
+SELECT episode_idx, component, CASE WHEN middle < 0.8 / 1.0 THEN 'train' WHEN middle < 0.9 THEN 'val' ELSE 'test' END AS split FROM named JOIN placed USING (component)
+"""
+
+
 def luma_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles of luma per camera and channel: over all episodes of the dataset (level 0) and per episode (level 1)."""
     samples = table(spark, folder, "camera_samples").select("sample_id", "dataset", "camera_key", "channel", "episode_index", "luma").where(F.col("luma").between(0.0, 1.0)).dropDuplicates()
@@ -144,7 +153,7 @@ def luma_medians(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "p1_found": (paired_frames, PAIRED_SQL),
     "p2_found": (broken_episodes, BROKEN_SQL),
-    "p2_splits": (episode_splits, None),
+    "p2_splits": (episode_splits, SPLITS_SQL),
     "p4_found": (wrong_percentiles, WRONG_SQL),
     "p4_medians": (luma_medians, PERCENTILE_SQL),
 }

@@ -17,8 +17,8 @@ from tidelane.plans.lineage import cut
 
 #: A graph of colliding labels up to this many links is merged by one task (about 50 MB there); a larger one by the same search again.
 SMALL_GRAPH = 500_000
-#: Bins of the hash order from which cumulative sizes are made.
-BINS = 4096
+#: Hexadecimal digits of the hash that make a bin: 4,096 bins, from which cumulative sizes are made.
+BIN_DIGITS = 3
 
 
 def _rank(node: Column) -> Column:
@@ -27,7 +27,7 @@ def _rank(node: Column) -> Column:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Connected components of ``links`` (a, b: two strings) as (node, component), component being one of its nodes.
+    """Connected components of ``links`` (a, b: two strings) as (node, component), component being its smallest seed.
 
     Frontier breadth-first search from many seeds at once.  Seeds are the nodes whose hash is smaller than that
     of all their neighbours, so each component has one at least and each node is a few steps from one.
@@ -59,7 +59,12 @@ def components(links: DataFrame) -> DataFrame:
     if not size:
         return reached.withColumnRenamed("label", "component")
     merged = _merge_small(collisions) if size <= SMALL_GRAPH else components(collisions)
+    # The smallest label names a component, whichever way the labels were merged.
     merged = merged.select(F.col("node").alias("label"), "component")
+    if size > SMALL_GRAPH:
+        merged = cut(merged)
+        named = merged.groupBy("component").agg(F.min("label").alias("smallest"))
+        merged = merged.join(named, "component").select("label", F.col("smallest").alias("component"))
     return reached.join(merged, "label", "left").select("node", F.coalesce("component", "label").alias("component"))
 
 
@@ -104,19 +109,20 @@ def record_components(df: DataFrame, record: str, keys: list[Column]) -> DataFra
 def assign_splits(members: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Give each component of ``members`` (record, component) one split so that the splits get about ``shares`` of the records.
 
-    Components stand in the order of their hash; the one that covers a point of the cumulative record count goes
-    to the split that the middle of it falls in.  Returns (record, component, split).  A component larger than
-    a share makes that share unreachable; nothing is ever divided.
+    A component is called by its smallest record, and components stand in the order of that name's hash (MD5); the one
+    that covers a point of the cumulative record count goes to the split that the middle of it falls in.  Returns
+    (record, component, split).  A component larger than a share makes that share unreachable; nothing is ever divided.
+    Records and components must be text without nulls.
 
-    The cumulative count comes from ``BINS`` bin totals and an order inside each bin, so no task sees all components.
+    The cumulative count comes from the totals of 4,096 bins and an order inside each bin, so no task sees all components.
     """
     if not shares or min(shares.values()) < 0 or not sum(shares.values()):
         raise ValueError("shares must be non-negative and not all zero")
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).withColumn("h", F.xxhash64("component", F.lit("split")))
-    sizes = sizes.withColumn("bin", F.pmod(F.shiftrightunsigned("h", 64 - BINS.bit_length() + 1), F.lit(BINS)))
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("record").alias("name")).withColumn("h", F.md5("name"))
+    sizes = sizes.withColumn("bin", F.conv(F.substring("h", 1, BIN_DIGITS), 16, 10).cast("int"))
     bins = sizes.groupBy("bin").agg(F.sum("size").alias("bin_size"))
     bins = bins.select("bin", F.coalesce(F.sum("bin_size").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.sum("bin_size").over(Window.partitionBy()).alias("total"))
-    inner = Window.partitionBy("bin").orderBy("h", "component").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("bin").orderBy("h", "name").rowsBetween(Window.unboundedPreceding, 0)
     placed = sizes.join(F.broadcast(bins), "bin").withColumn("middle", (F.col("base") + F.sum("size").over(inner) - F.col("size") / 2) / F.col("total"))
     total, upto, split = sum(shares.values()), 0.0, None
     names = [n for n, s in shares.items() if s > 0]
@@ -124,7 +130,7 @@ def assign_splits(members: DataFrame, shares: dict[str, float]) -> DataFrame:
         upto += shares[n] / total
         split = (F.when if split is None else split.when)(F.col("middle") < upto, F.lit(n))
     chosen = F.lit(names[-1]) if split is None else split.otherwise(F.lit(names[-1]))
-    return members.join(placed.select("component", chosen.alias("split")), "component").select("record", "component", "split")
+    return members.join(placed.select("component", "name", chosen.alias("split")), "component").select("record", F.col("name").alias("component"), "split")
 
 
 def broken_components(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -134,5 +140,6 @@ def broken_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     """
     given = labels.select(F.col("record").cast("string").alias("record"), "split").where(F.col("record").isNotNull() & F.col("split").isNotNull()).distinct()
     placed = given.join(members, "record", "left").select("record", "split", F.coalesce("component", F.concat(F.lit("r:"), F.col("record"))).alias("component"))
+    placed = cut(placed)
     broken = placed.groupBy("component").agg(F.min("split").alias("x"), F.max("split").alias("y")).where("x <> y").select("component")
     return placed.join(broken, "component").select("record").distinct()
