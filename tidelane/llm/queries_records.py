@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidelane.catalog.tables import table
 from tidelane.functions.integers import seconds_to_ns
 from tidelane.llm.nearest_time import nearest_in_time
-from tidelane.llm.percentiles import percentiles
+from tidelane.llm.percentiles import DIGITS, error_bound, merge, percentiles, percentiles_from, summarise
+from tidelane.plans.joins import join_null_safe, small_side
+from tidelane.plans.lineage import cut
 from tidelane.llm.related_splits import assign_splits, broken_components, record_components
 
 TOLERANCE_NS = 15_000_000
@@ -100,34 +102,64 @@ SELECT episode_idx, component, CASE WHEN middle < 0.8 / 1.0 THEN 'train' WHEN mi
 """
 
 
+CAMERA = ["dataset", "camera_key", "channel"]
+EPISODE = [*CAMERA, "episode_index"]
+
+
+def usable_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The brightness samples that count, copies among them."""
+    return table(spark, folder, "camera_samples").select("sample_id", *EPISODE, "file_index", "luma").where(F.col("luma").between(0.0, 1.0))
+
+
+def luma_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Each usable brightness sample once."""
+    return usable_samples(spark, folder).dropDuplicates()
+
+
 def luma_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles of luma per camera and channel: over all episodes of the dataset (level 0) and per episode (level 1)."""
-    samples = table(spark, folder, "camera_samples").select("sample_id", "dataset", "camera_key", "channel", "episode_index", "luma").where(F.col("luma").between(0.0, 1.0)).dropDuplicates()
-    camera = ["dataset", "camera_key", "channel"]
-    return percentiles(samples, [camera, [*camera, "episode_index"]], "luma", POINTS)
+    return percentiles(luma_samples(spark, folder), [CAMERA, EPISODE], "luma", POINTS)
+
+
+def file_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of each video file on its own: counts of leading digits by episode, camera and channel."""
+    return summarise(luma_samples(spark, folder), ["file_index", *EPISODE], "luma")
+
+
+def summed_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles and their bounds per dataset (level 0) and episode (level 1) from the merged summaries of the files."""
+    episodes = cut(merge(file_summaries(spark, folder), EPISODE))
+    whole = percentiles_from(merge(episodes, CAMERA), CAMERA, POINTS).select(F.lit(0).alias("level"), *CAMERA, F.lit(None).cast("bigint").alias("episode_index"), "n", "stat", "result", "low", "high")
+    return whole.unionByName(percentiles_from(episodes, EPISODE, POINTS).withColumn("level", F.lit(1)))
 
 
 def wrong_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored percentiles that are off by more than 0.1."""
+    """Stored percentiles that are off by more than 0.1.
+
+    Merged summaries decide wherever both of their bounds do; the groups of the others are followed to the last digit.
+    """
+    group = ["level", *EPISODE]
     stats = table(spark, folder, "camera_stats").where(F.col("stats_scope").isin("global", "episode"))
     stored = stats.select(
         "stats_id",
-        *(F.col(c).alias(f"s_{c}") for c in ("dataset", "camera_key", "channel")),
-        F.when(F.col("stats_scope") == "episode", F.col("episode_index")).alias("s_episode"),
-        F.when(F.col("stats_scope") == "episode", 1).otherwise(0).alias("s_level"),
+        *CAMERA,
+        F.when(F.col("stats_scope") == "episode", F.col("episode_index")).alias("episode_index"),
+        F.when(F.col("stats_scope") == "episode", 1).otherwise(0).alias("level"),
         F.explode(F.array(*(F.struct(F.lit(q).alias("stat"), F.col(q).alias("stored")) for q in POINTS))).alias("s"),
-    ).where(F.col("s.stored").isNotNull())
-    right = luma_percentiles(spark, folder)
-    on = (
-        (F.col("s_level") == right["level"])
-        & F.col("s_dataset").eqNullSafe(right["dataset"])
-        & F.col("s_camera_key").eqNullSafe(right["camera_key"])
-        & F.col("s_channel").eqNullSafe(right["channel"])
-        & F.col("s_episode").eqNullSafe(right["episode_index"])
-        & (F.col("s.stat") == right["stat"])
-    )
-    off = F.isnan("s.stored") | (F.abs(F.col("s.stored") - right["result"]) > OFF_BY)
-    return stored.join(right, on).where(off).select("stats_id", F.col("s.stat").alias("stat")).distinct()
+    ).select("stats_id", *group, "s.stat", "s.stored").where(F.col("stored").isNotNull())
+    off = lambda at: F.isnan("stored") | (F.abs(F.col("stored") - F.col(at)) > OFF_BY)
+    held = cut(join_null_safe(stored, summed_percentiles(spark, folder), [*group, "stat"]))
+    # Beyond the reach of both bounds it is off wherever the percentile lies between them, within the reach of both nowhere.
+    inside = F.col("stored").between(F.col("low") - OFF_BY, F.col("high") + OFF_BY)
+    sure = F.isnan("stored") | ~inside | (~off("low") & ~off("high"))
+    found = held.where(sure & off("result")).select("stats_id", "stat")
+    open_ = held.where(~sure)
+    samples = usable_samples(spark, folder)
+    asked = small_side(open_.select(*CAMERA, F.when(F.col("level") == 1, F.col("episode_index")).alias("episode"), (F.col("level") == 0).alias("any")).distinct())
+    near = [samples[c].eqNullSafe(asked[c]) for c in CAMERA] + [asked["any"] | samples["episode_index"].eqNullSafe(asked["episode"])]
+    exact = percentiles(samples.join(asked, near, "left_semi").dropDuplicates(), [CAMERA, EPISODE], "luma", POINTS, digits=DIGITS)
+    settled = join_null_safe(open_.drop("n", "result", "low", "high"), exact, [*group, "stat"]).where(off("result"))
+    return found.unionByName(settled.select("stats_id", "stat")).distinct()
 
 
 WRONG_SQL = """
@@ -150,10 +182,28 @@ def luma_medians(spark: SparkSession, folder: str) -> DataFrame:
     return luma_percentiles(spark, folder).where("stat = 'q50'").select("dataset", "camera_key", "channel", "episode_index", "n", F.round("result", 9).alias("median"))
 
 
+SUMMED_SQL = """
+WITH v AS (SELECT DISTINCT sample_id, dataset, camera_key, channel, episode_index, luma FROM camera_samples WHERE luma BETWEEN 0 AND 1),
+q AS (SELECT 0 AS level, dataset, camera_key, channel, NULL AS episode_index, count(*) AS n, quantile_cont(luma, [0.01, 0.1, 0.5, 0.9, 0.99]) AS q FROM v GROUP BY ALL
+      UNION ALL SELECT 1, dataset, camera_key, channel, episode_index, count(*), quantile_cont(luma, [0.01, 0.1, 0.5, 0.9, 0.99]) FROM v GROUP BY ALL)
+SELECT level, dataset, camera_key, channel, episode_index, n, unnest(['q01', 'q10', 'q50', 'q90', 'q99']) AS stat, true AS within_bound FROM q
+"""
+
+
+def summed_within_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each percentile from merged summaries of files is within the stated error of the exact one, and between its bounds."""
+    group = ["level", *EPISODE, "stat"]
+    both = join_null_safe(summed_percentiles(spark, folder), luma_percentiles(spark, folder).drop("n").withColumnRenamed("result", "exact"), group)
+    # A luma's neighbours are at most 1, so this is the bound in luma.
+    within = (F.abs(F.col("result") - F.col("exact")) <= error_bound(1)) & F.col("exact").between(F.col("low"), F.col("high"))
+    return both.select(*group, "n", within.alias("within_bound"))
+
+
 QUERIES = {
     "p1_found": (paired_frames, PAIRED_SQL),
     "p2_found": (broken_episodes, BROKEN_SQL),
     "p2_splits": (episode_splits, SPLITS_SQL),
     "p4_found": (wrong_percentiles, WRONG_SQL),
     "p4_medians": (luma_medians, PERCENTILE_SQL),
+    "p4_summaries": (summed_within_bound, SUMMED_SQL),
 }
