@@ -87,3 +87,16 @@ def test_session_and_recording_keys(spark):
     assert other == ["20260301|14|1", None, None, "lab"]
     sources = ["rec_56af342a2e_0.mcap", "/data/raw/intake-58/REC_56AF342A2E_0.MCAP", "merged/rec_56af342a2e_0.mcap.zst"]
     assert {r[0] for r in spark.createDataFrame([(s,) for s in sources], "s string").select(recording_key(F.col("s"))).collect()} == {"56af342a2e"}
+
+
+def test_stored_percentiles_near_the_threshold_are_followed_to_the_last_digit(spark, tmp_path):
+    camera = "dataset string, camera_key string, channel int"
+    values = [0.3 + i * 0.0001 for i in range(101)]
+    samples = [(i, "d", "c", 0, 1, 0, v) for i, v in enumerate(values)] * 2 + [(900, "d", "c", 0, 1, 0, None), (901, "d", "c", 0, 1, 0, 7.0)]
+    spark.createDataFrame(samples, f"sample_id long, {camera}, episode_index long, file_index long, luma double").write.parquet(f"{tmp_path}/camera_samples.parquet")
+    exact = values[50]
+    stored = [(1, exact + 0.1001), (2, exact + 0.0999), (3, exact - 0.1001), (4, exact - 0.0999), (5, exact + 0.3), (6, exact), (7, float("nan")), (8, None)]
+    rows = [(i + k, "d", "c", scope, 1 if k else None, 0, None, None, q, None, None) for k, scope in ((0, "global"), (10, "episode")) for i, q in stored]
+    spark.createDataFrame(rows, "stats_id long, dataset string, camera_key string, stats_scope string, episode_index long, channel int, q01 double, q10 double, q50 double, q90 double, q99 double").write.parquet(f"{tmp_path}/camera_stats.parquet")
+    got = {tuple(r) for r in QUERIES["p4_found"][0](spark, str(tmp_path)).collect()}
+    assert got == {(i + k, "q50") for i in (1, 3, 5, 7) for k in (0, 10)}

@@ -65,8 +65,11 @@ def _first_targets(counts: DataFrame, group: list[str], points: dict[str, float]
     placed = _placed(counts, group, F.lit(0).cast("bigint"))
     placed = placed.withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
     place = lambda p: (F.col("total") - 1) * F.lit(float(p))
+    upto = F.col("below") + F.col("n")
+    # Few cells hold a rank: they are found by plain comparisons before any list of ranks is made.
+    placed = placed.where(reduce(Column.__or__, ((F.floor(place(p)) < upto) & (F.ceil(place(p)) >= F.col("below")) for p in points.values())))
     ranks = [F.struct(F.lit(s).alias("stat"), place(p).alias("place"), r(place(p)).alias("rank"), F.floor(place(p)).alias("low")) for s, p in points.items() for r in (F.floor, F.ceil)]
-    mine = F.filter(F.array_distinct(F.array(*ranks)), lambda r: (r["rank"] >= F.col("below")) & (r["rank"] < F.col("below") + F.col("n")))
+    mine = F.filter(F.array_distinct(F.array(*ranks)), lambda r: (r["rank"] >= F.col("below")) & (r["rank"] < upto))
     hit = placed.select(*group, "total", "prefix", "below", F.explode(mine).alias("r"))
     return hit.select(*group, "total", "r.stat", "r.place", "r.rank", "r.low", F.col("prefix").alias("parent"), (F.col("r.rank") - F.col("below")).alias("left"))
 

@@ -154,6 +154,8 @@ def wrong_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     sure = F.isnan("stored") | ~inside | (~off("low") & ~off("high"))
     found = held.where(sure & off("result")).select("stats_id", "stat")
     open_ = held.where(~sure)
+    if open_.isEmpty():
+        return found.distinct()
     samples = usable_samples(spark, folder)
     asked = small_side(open_.select(*CAMERA, F.when(F.col("level") == 1, F.col("episode_index")).alias("episode"), (F.col("level") == 0).alias("any")).distinct())
     near = [samples[c].eqNullSafe(asked[c]) for c in CAMERA] + [asked["any"] | samples["episode_index"].eqNullSafe(asked["episode"])]
