@@ -3,19 +3,14 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 
 #: Modules with a QUERIES table {name: (function of session and folder, SQL or None)}.
 MODULES = [f"tidelane.catalog.{m}" for m in ("recordings", "quality", "alignment", "features", "evaluation", "runtime", "streams")]
-OPTIONAL = "tidelane.llm"
 
 
-def registered() -> dict:
-    """All queries; those of the optional subpackage only if it is there."""
-    names = list(MODULES)
-    if importlib.util.find_spec(OPTIONAL):
-        names += importlib.import_module(OPTIONAL).QUERY_MODULES
+def registered(modules: list[str] | None = None) -> dict:
+    """All queries of the modules (default: the catalog's own)."""
     found: dict = {}
-    for name in names:
+    for name in modules or MODULES:
         found |= importlib.import_module(name).QUERIES
     return found

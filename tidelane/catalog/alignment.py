@@ -73,19 +73,40 @@ k AS (SELECT episode, CASE WHEN cts >= ots THEN 'exact' WHEN cts IS NOT NULL THE
 SELECT episode, count(*) FILTER (kind = 'exact') AS exact, count(*) FILTER (kind = 'hold_last') AS hold_last, count(*) FILTER (kind = 'fallback_to_observation') AS fallback_to_observation, count(*) FILTER (kind = 'dropped') AS dropped FROM k GROUP BY 1"""
 
 
+#: The other cameras, whose frames are matched by distance.
+OTHERS = ("chest", "wrist_l", "wrist_r")
+
+
+def aligned_streams(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:
+    """What is aligned with the waist camera: joint readings, the other cameras' frames, and a reading of each of them as the commands."""
+    cameras = {c: (camera(spark, folder, c).withColumn("value", F.lit(0.0)), "nearest") for c in OTHERS}
+    commands = {f"{c}_command": (readings(spark, folder, c), "causal") for c in OTHERS}
+    return {"joints": (readings(spark, folder, "joint_states"), "nearest"), **cameras, **commands}
+
+
 def aligned(spark: SparkSession, folder: str) -> DataFrame:
-    streams = {
-        "joints": (readings(spark, folder, "joint_states"), "nearest"),
-        "second": (camera(spark, folder, "chest").withColumn("value", F.lit(0.0)), "nearest"),
-        "command": (readings(spark, folder, "chest"), "causal"),
-    }
+    """Frames of the waist camera with what belongs to them of all other streams; frames that lack one are left out."""
+    streams = aligned_streams(spark, folder)
     out = joins.align(camera(spark, folder, "waist"), streams, by=["episode"], ts="ts", seq="seq")
-    return out.select("episode", "ts", "seq", F.col("joints.seq").alias("joints"), F.col("second.seq").alias("second"), F.col("command.seq").alias("command"))
+    return out.select("episode", "ts", "seq", *(F.col(f"{n}.seq").alias(n) for n in streams))
+
 
+def _aligned_body() -> str:
+    parts = [cam_sql("m", "waist"), read_sql("j", "joint_states"), FIRST_SQL.format(n="jd", s="j"), NEAR_SQL.format(out="n0", m="m", d="jd", p="x"), "a0 AS (SELECT episode, ts, seq, xseq AS joints FROM n0)"]
+    kept = ["joints"]
+    for i, c in enumerate(OTHERS, 1):
+        parts += [cam_sql(f"c{i}", c), f"d{i} AS (SELECT episode, ts, min(seq) AS seq, 0.0 AS value FROM c{i} GROUP BY 1, 2)", NEAR_SQL.format(out=f"n{i}", m=f"a{i - 1}", d=f"d{i}", p="x")]
+        parts += [f"a{i} AS (SELECT episode, ts, seq, {', '.join(kept)}, xseq AS {c} FROM n{i})"]
+        kept.append(c)
+    last = len(OTHERS)
+    for i, c in enumerate(OTHERS, 1):
+        parts += [read_sql(f"r{i}", c), LAST_SQL.format(n=f"l{i}", s=f"r{i}")]
+        parts += [f"b{i} AS (SELECT x.*, l{i}.seq AS {c}_command FROM {f'a{last}' if i == 1 else f'b{i - 1}'} x ASOF LEFT JOIN l{i} ON x.episode = l{i}.episode AND x.ts >= l{i}.ts)"]
+        kept.append(f"{c}_command")
+    return ", ".join(parts) + f", al AS (SELECT * FROM b{last} WHERE {' AND '.join(f'{k} IS NOT NULL' for k in kept)})"
 
-ALIGNED_BODY = f"""{cam_sql('m', 'waist')}, {read_sql('j', 'joint_states')}, {FIRST_SQL.format(n='jd', s='j')}, {cam_sql('ch', 'chest')}, chd AS (SELECT episode, ts, min(seq) AS seq, 0.0 AS value FROM ch GROUP BY 1, 2),
-{read_sql('c', 'chest')}, {LAST_SQL.format(n='cd', s='c')}, {NEAR_SQL.format(out='o1', m='m', d='jd', p='j')}, o1b AS (SELECT episode, ts, seq, jseq FROM o1), {NEAR_SQL.format(out='o2', m='o1b', d='chd', p='s')},
-al AS (SELECT o2.episode, o2.ts, o2.seq, jseq AS joints, sseq AS second, cd.seq AS command FROM o2 ASOF JOIN cd ON o2.episode = cd.episode AND o2.ts >= cd.ts WHERE jseq IS NOT NULL AND sseq IS NOT NULL)"""
+
+ALIGNED_BODY = _aligned_body()
 
 
 def subsampled(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,42 +144,13 @@ def previous(spark: SparkSession, folder: str) -> DataFrame:
     return shaping.previous_sample(rows, by=["episode"], order=["ts", "seq"], value="value").select("episode", "seq", "value", "command")
 
 
-def _arms(spark: SparkSession, folder: str, column: str) -> dict[str, DataFrame]:
-    rows = table(spark, folder, "predictions").where(F.col(column).isNotNull() & F.col("joint").isin("left_joint1", "right_joint1")).select("episode_idx", "t", "joint", column).distinct()
-    # The right arm's samples come 4 ms late.
-    late = lambda arm: F.lit(4 if arm == "right" else 0)
-    return {arm: rows.where(F.col("joint") == f"{arm}_joint1").select(F.col("episode_idx").alias("episode"), (F.col("t") * 33 + late(arm)).alias("ts"), F.col("t").alias("seq"), F.array(column).alias("values")) for arm in ("left", "right")}
-
-
-def arms(spark: SparkSession, folder: str) -> DataFrame:
-    """Both arms' first joints on the left arm's clock."""
-    merged = joins.merge_arms(_arms(spark, folder, "ground_truth"), by=["episode"], ts="ts", seq="seq")
-    return merged.select("episode", "ts", F.size("values").alias("joints"), F.round(F.get("values", F.lit(0)), 6).alias("v0"), F.round(F.get("values", F.lit(1)), 6).alias("v1"))
-
-
-ARMS_SQL = """WITH p AS (SELECT DISTINCT episode_idx AS episode, t, joint, ground_truth AS value FROM predictions WHERE ground_truth IS NOT NULL AND joint IN ('left_joint1', 'right_joint1')),
-m AS (SELECT episode, t * 33 AS ts, value AS v0, t AS seq FROM p WHERE joint = 'left_joint1'), d AS (SELECT episode, t * 33 + 4 AS ts, value, t AS seq FROM p WHERE joint = 'right_joint1'),
-""" + NEAR_SQL.format(out="o", m="m", d="d", p="r") + " SELECT episode, ts, CASE WHEN rts IS NULL THEN 1 ELSE 2 END AS joints, round(v0, 6) AS v0, round(rvalue, 6) AS v1 FROM o"
-
-
-def truth_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    truth = _arms(spark, folder, "ground_truth")["left"]
-    late = _arms(spark, folder, "raw_output")["left"].withColumn("ts", F.col("ts") + 5)
-    return joins.pair_vectors(truth, late, by=["episode"], ts="ts", seq="seq").select("episode", "ts", "dt", F.round(F.get("truth", F.lit(0)), 6).alias("truth"), F.round(F.get("predicted", F.lit(0)), 6).alias("predicted"))
-
-
-TRUTH_SQL = """WITH p AS (SELECT DISTINCT episode_idx AS episode, t, ground_truth, raw_output FROM predictions WHERE joint = 'left_joint1'),
-m AS (SELECT episode, t * 33 AS ts, ground_truth AS truth FROM p WHERE ground_truth IS NOT NULL), d AS (SELECT episode, t * 33 + 5 AS ts, raw_output AS value, t AS seq FROM p WHERE raw_output IS NOT NULL),
-""" + NEAR_SQL.format(out="o", m="m", d="d", p="r") + " SELECT episode, ts, rts - ts AS dt, round(truth, 6) AS truth, round(rvalue, 6) AS predicted FROM o WHERE rts IS NOT NULL"
-
-
 def _arm_vectors(spark: SparkSession, folder: str, column: str, late: int = 0) -> DataFrame:
     """(episode, arm, ts, seq, values): all joints of an arm in a frame, in the order of their names; frames without any value are left out.
 
     Copies go inside the frame's list and the key is the final stamp, so that one shuffle does for the as-of join's first arrivals too.
     """
     arm = F.substring_index("joint", "_", 1)
-    # As in _arms the right arm's samples come 4 ms late.
+    # The right arm's samples come 4 ms late.
     ts = F.col("t") * 33 + late + F.when(arm == "right", 4).otherwise(0)
     rows = table(spark, folder, "predictions").select(F.col("episode_idx").alias("episode"), arm.alias("arm"), ts.alias("ts"), "t", F.struct("joint", F.col(column).alias("value")).alias("j"))
     vectors = rows.groupBy("episode", "arm", "ts").agg(F.min("t").alias("seq"), F.array_sort(F.array_distinct(F.collect_list("j"))).alias("j"), F.count("j.value").alias("n")).where("n > 0")
@@ -217,10 +209,8 @@ QUERIES = {
     "lookahead_action": (look_ahead, LOOK_SQL),
     "stride_downsample": (strided, STRIDE_SQL),
     "prev_sample_command": (previous, f"WITH {read_sql('j', 'joint_states')} SELECT episode, seq, value, coalesce(lag(value) OVER (PARTITION BY episode ORDER BY ts, seq), 0.0) AS command FROM j"),
-    "arm_merge": (arms, ARMS_SQL),
-    "arm_merge_vectors": (whole_arms, WHOLE_ARMS_SQL),
-    "pred_gt_align": (truth_pairs, TRUTH_SQL),
-    "pred_gt_vectors": (truth_vectors, TRUTH_VECTORS_SQL),
+    "arm_merge": (whole_arms, WHOLE_ARMS_SQL),
+    "pred_gt_align": (truth_vectors, TRUTH_VECTORS_SQL),
     "fresh_readings": (fresh_readings, CAUSAL_SQL.replace("d.seq AS reading, d.ts - m.ts AS dt", "CASE WHEN m.ts - d.ts <= 20000000 THEN d.seq END AS reading")),
     "session_rates": (session_rates, "SELECT dataset, min(avg_fps) AS rate, min(avg_fps) <> max(avg_fps) AS mixed FROM topic_reports WHERE avg_fps > 0 AND NOT isnan(avg_fps) AND role = 'stream' GROUP BY 1"),
     "drop_broken_episodes": (unbroken, "WITH f AS (SELECT DISTINCT frame_id, episode_idx, stamp_ns FROM frames) SELECT episode_idx, count(*) AS frames FROM f WHERE episode_idx NOT IN (SELECT episode_idx FROM f WHERE stamp_ns = 0) GROUP BY 1"),

@@ -222,12 +222,17 @@ USABLE_SQL = "WITH " + STRATA_SQL + " SELECT st.episode_idx, size, face FROM st
 
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "annotations").where("session IS NOT NULL").distinct()
-    return labels.session_metadata(rows, "session", "annotation_id", "envelope_size", "recorder_status", {"big": "left", "medium": "right", "small": "right"})
+    return labels.session_metadata(rows, "session", "envelope_size", "recorder_status", {"big": "left", "medium": "right", "small": "right"})
 
 
-SESSION_SQL = f"""WITH a AS (SELECT DISTINCT annotation_id, session, recorder_status = 'aborted' AS ab, CASE {_alias_sql('envelope_size', names.SIZE_ALIASES)} WHEN 'big' THEN 'left' WHEN 'medium' THEN 'right' WHEN 'small' THEN 'right' END AS b FROM annotations WHERE session IS NOT NULL),
-r AS (SELECT *, row_number() OVER (PARTITION BY session, ab ORDER BY annotation_id) AS r FROM a)
-SELECT session, count(*) AS episodes, count(*) FILTER (ab) AS aborted, coalesce(string_agg(CAST(annotation_id AS VARCHAR), ',' ORDER BY r) FILTER (ab AND r <= 20), '') AS first_aborted, CASE WHEN min(b) = max(b) THEN min(b) END AS basket FROM r GROUP BY 1"""
+SESSION_SQL = f"""WITH a AS (SELECT DISTINCT annotation_id, session, recorder_status = 'aborted' AS ab, CASE {_alias_sql('envelope_size', names.SIZE_ALIASES)} WHEN 'big' THEN 'left' WHEN 'medium' THEN 'right' WHEN 'small' THEN 'right' END AS b FROM annotations WHERE session IS NOT NULL)
+SELECT session, count(*) AS episodes, count(*) FILTER (ab) AS aborted, CASE WHEN min(b) = max(b) THEN min(b) END AS basket FROM a GROUP BY 1"""
+
+
+def session_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """Every annotation of every session, and whether it was aborted."""
+    rows = table(spark, folder, "annotations").where("session IS NOT NULL").distinct()
+    return labels.session_episodes(rows, "session", "annotation_id", "recorder_status")
 
 
 def stamped(spark: SparkSession, folder: str) -> DataFrame:
@@ -289,6 +294,7 @@ QUERIES = {
     "session_label_spread": (spread, "SELECT DISTINCT episode_idx, 'big' AS envelope_size, 'left' AS destination_basket_side FROM annotations"),
     "usable_labels": (usable_labels, USABLE_SQL),
     "session_metadata": (sessions, SESSION_SQL),
+    "session_episodes": (session_entries, "SELECT session, annotation_id, bool_or(coalesce(recorder_status = 'aborted', false)) AS aborted FROM annotations WHERE session IS NOT NULL GROUP BY 1, 2"),
     "stamped_sidecars": (stamped, STAMP_SQL),
     "merge_datasets": (merged, MERGE_SQL),
     "resume_sources": (resumed, "SELECT DISTINCT episode_idx FROM annotations WHERE episode_idx NOT IN (SELECT episode_idx FROM predictions)"),

@@ -253,16 +253,16 @@ SELECT name, CASE WHEN NOT gone THEN role END AS role, CASE WHEN NOT gone THEN c
 
 
 def pose_steps(spark: SparkSession, folder: str) -> DataFrame:
-    """Distance and angle between successive poses; a pose is the first seven numbers of an embedding."""
+    """Distance and angle between successive poses of a label; a pose is the first seven numbers of an embedding."""
     from pyspark.sql import Window
 
-    rows = table(spark, folder, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 7).alias("p"))
-    before = F.lag("p").over(Window.partitionBy(F.expr("vec_id div 64")).orderBy("vec_id"))
+    rows = table(spark, folder, "embeddings").select("label", "vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 7).alias("p"))
+    before = F.lag("p").over(Window.partitionBy("label").orderBy("vec_id"))
     d = rows.withColumn("b", before).where(F.col("b").isNotNull()).withColumn("d", arrays.pose_delta(F.col("b"), F.col("p")))
     return d.select("vec_id", F.round("d.metres", 6).alias("metres"), F.round("d.degrees", 4).alias("degrees"))
 
 
-POSE_SQL = """WITH e AS (SELECT vec_id, list_transform(embedding[1:7], lambda x: CAST(x AS DOUBLE)) AS p FROM embeddings), b AS (SELECT *, lag(p) OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) AS b FROM e)
+POSE_SQL = """WITH e AS (SELECT label, vec_id, list_transform(embedding[1:7], lambda x: CAST(x AS DOUBLE)) AS p FROM embeddings), b AS (SELECT *, lag(p) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM e)
 SELECT vec_id, round(sqrt(list_sum(list_transform([1, 2, 3], lambda i: (p[i] - b[i]) * (p[i] - b[i])))), 6) AS metres,
 round(degrees(2 * acos(least(1.0, abs(list_sum(list_transform([4, 5, 6, 7], lambda i: p[i] * b[i]))) / (sqrt(list_sum(list_transform([4, 5, 6, 7], lambda i: p[i] * p[i]))) * sqrt(list_sum(list_transform([4, 5, 6, 7], lambda i: b[i] * b[i]))))))), 4) AS degrees FROM b WHERE b IS NOT NULL"""
 def shaped_features(spark: SparkSession, folder: str) -> DataFrame:

@@ -208,14 +208,12 @@ def flagged_groups(spark: SparkSession, folder: str) -> DataFrame:
     return batch_checks.flagged_groups(_latest(spark, folder))
 
 
-FLAGGED_SQL = (
-    "WITH "
-    + LATEST_SQL
-    + """, f AS (SELECT label, severity, episode, min(reason) AS reason FROM lat WHERE severity <> 'pass' GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY label, severity ORDER BY episode) AS r FROM f)
-SELECT label, severity, count(*) AS episodes, string_agg(episode, ',' ORDER BY r) FILTER (r <= 20) AS first_episodes, arg_min(reason, r) AS first_reason FROM r GROUP BY ALL
-"""
-)
+FLAGGED_BODY = "WITH " + LATEST_SQL + ", f AS (SELECT label, severity, episode, min(reason) AS reason FROM lat WHERE severity <> 'pass' GROUP BY ALL)"
+FLAGGED_SQL = FLAGGED_BODY + " SELECT label, severity, count(*) AS episodes, min(episode) AS first_episode, arg_min(reason, episode) AS first_reason FROM f GROUP BY ALL"
+
+
+def flagged_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    return batch_checks.flagged_episodes(_latest(spark, folder))
 
 
 def _episode_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -273,6 +271,7 @@ QUERIES = {
     "topic_presence_quorum": (topic_presence, PRESENCE_SQL),
     "topic_health": (topic_health, HEALTH_SQL),
     "flagged_groups": (flagged_groups, FLAGGED_SQL),
+    "flagged_episodes": (flagged_episodes, FLAGGED_BODY + " SELECT * FROM f"),
     "readiness_summary": (readiness, READINESS_SQL),
     "quality_gate": (quality_gate, "WITH " + EPISODES_SQL + " SELECT * FROM eps WHERE severity <> 'critical'"),
     "manual_skip": (manual_skip, "SELECT file_name, place FROM (SELECT file_name, row_number() OVER (ORDER BY file_name) - 1 AS place FROM (SELECT DISTINCT file_name FROM raw_reports)) WHERE place NOT IN (0, 2, 3, 7)"),

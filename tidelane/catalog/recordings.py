@@ -114,7 +114,7 @@ def regular_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def silent_slots(spark: SparkSession, folder: str) -> DataFrame:
     """Slots without a reading between the first and last slot of a series with one."""
-    return regular_series(spark, folder).where(F.col("readings") == 0).select("series_kind", "series", "slot")
+    return regular_series(spark, folder).where(F.col("status") != "read").select("series_kind", "series", "slot")
 
 
 SILENT_SQL = """
@@ -155,6 +155,13 @@ SELECT episode_idx, t, joint, field FROM x WHERE bad UNION SELECT * FROM sp UNIO
 """
 
 
+FAULT_COUNTS_SQL = FAULTS_SQL.rsplit("SELECT episode_idx, t, joint, field FROM x WHERE bad", 1)[0] + """
+SELECT joint, field, fault, count(*) AS readings FROM (
+  SELECT joint, field, 'impossible' AS fault FROM x WHERE bad UNION ALL SELECT joint, field, 'stuck' FROM st
+  UNION ALL SELECT joint, field, 'spike' FROM sp WHERE (episode_idx, t, joint, field) NOT IN (SELECT (episode_idx, t, joint, field) FROM st)) GROUP BY ALL
+"""
+
+
 def rescued_report(spark: SparkSession, folder: str) -> DataFrame:
     """Records by feed after the approved field ``retries`` was promoted: typed values, rescued lines."""
     rows = promote(report_records(spark, folder), "retries", "bigint")
@@ -168,6 +175,16 @@ def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
 DAMAGED_SQL = "SELECT feed, count(DISTINCT raw_id) AS lines FROM raw_reports WHERE NOT coalesce(CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT' ELSE false END, false) GROUP BY feed"
 
 
+STATUS_SQL = """
+WITH s AS (SELECT 'frame' k, episode_idx || '|' || camera series, stamp_ns // 500000000 slot, stamp_ns AS at, NULL::DOUBLE AS v FROM frames WHERE stamp_ns > 0
+           UNION ALL SELECT 'report', dataset || '|' || topic, CAST(floor(epoch_us(scanned_at) / 3600000000) AS BIGINT), epoch_us(scanned_at), avg_fps FROM topic_reports WHERE avg_fps > 0 AND NOT isnan(avg_fps)),
+b AS (SELECT k, series, slot, arg_max(v, {'at': at, 'v': v}) AS v FROM s WHERE series IS NOT NULL GROUP BY ALL),
+n AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN slot END IGNORE NULLS) OVER w AS held, coalesce(lead(slot) OVER (PARTITION BY k, series ORDER BY slot), slot + 1) AS nxt FROM b WINDOW w AS (PARTITION BY k, series ORDER BY slot ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT k, slot AS seen, held, unnest(range(slot, nxt)) AS slot FROM n)
+SELECT k AS series_kind, CASE WHEN slot = seen THEN 'read' WHEN slot - held <= 6 THEN 'filled' ELSE 'missing' END AS status, count(*) AS slots FROM g GROUP BY ALL
+"""
+
+
 def slot_status(spark: SparkSession, folder: str) -> DataFrame:
     return regular_series(spark, folder).groupBy("series_kind", "status").agg(F.count(F.lit(1)).alias("slots"))
 
@@ -182,7 +199,7 @@ QUERIES = {
     "p5_damaged_lines": (damaged_lines, DAMAGED_SQL),
     "p5_rescued": (rescued_report, None),
     "p6_found": (silent_slots, SILENT_SQL),
-    "p6_slot_status": (slot_status, None),
+    "p6_slot_status": (slot_status, STATUS_SQL),
     "p7_found": (faulty_readings, FAULTS_SQL),
-    "p7_fault_counts": (fault_counts, None),
+    "p7_fault_counts": (fault_counts, FAULT_COUNTS_SQL),
 }

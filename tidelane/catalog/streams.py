@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.catalog.alignment import ALIGNED_BODY, camera, readings
+from tidelane.catalog.alignment import ALIGNED_BODY, aligned_streams, camera
 from tidelane.catalog.tables import table
 from tidelane.streaming.folds import WatchLimits, align_fold, complete_fold, fold_batch, watchdog_fold
 from tidelane.streaming.windows import interval_rates, silence_sessions
@@ -29,16 +29,15 @@ def watchdog(spark: SparkSession, folder: str) -> DataFrame:
 
 def buffered_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """The aligned frames by the buffered fold, with a buffer that is longer than any wait."""
-    main = camera(spark, folder, "waist").select("episode", "ts", "seq", F.lit("main").alias("stream"), F.lit(None).cast("double").alias("value"))
-    others = {"joints": readings(spark, folder, "joint_states"), "second": camera(spark, folder, "chest").withColumn("value", F.lit(0.0)), "command": readings(spark, folder, "chest")}
-    rows = main
-    for name, df in others.items():
+    rows = camera(spark, folder, "waist").select("episode", "ts", "seq", F.lit("main").alias("stream"), F.lit(None).cast("double").alias("value"))
+    others = aligned_streams(spark, folder)
+    for name, (df, _) in others.items():
         rows = rows.unionByName(df.select("episode", "ts", "seq", F.lit(name).alias("stream"), "value"))
     end = rows.groupBy("episode").agg(F.max("ts").alias("ts")).select("episode", "ts", F.lit(1 << 62).alias("seq"), F.lit("end").alias("stream"), F.lit(None).cast("double").alias("value"))
-    fold = align_fold({"joints": "nearest", "second": "nearest", "command": "causal"}, 20_000_000_000)
+    fold = align_fold({name: mode for name, (_, mode) in others.items()}, 20_000_000_000)
     out = fold_batch(rows.unionByName(end), ["episode"], ["ts", "seq"], fold)
     part = lambda n: F.get_json_object("matched", f"$.{n}").cast("bigint").alias(n)
-    return out.select("episode", "ts", "seq", part("joints"), part("second"), part("command"))
+    return out.select("episode", "ts", "seq", *map(part, others))
 
 
 def event_sessions(spark: SparkSession, folder: str) -> DataFrame:

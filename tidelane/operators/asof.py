@@ -1,8 +1,9 @@
 """As-of joins of streams on one clock: causal, nearest, with provenance of what was used.
 
-Source and probe rows are united and ordered by time; a probe's match is the last source row before it.  An entity's rows
-are cut into buckets of time so that one long recording is many tasks; what a bucket can't see, the last source row
-before it (or the first after), comes from one small row per bucket.
+Rows of the clock and of all streams are united, shuffled once and ordered by time; a match is the last row of a stream before
+a clock row, or the last one in the opposite order for what comes after it.  An entity's rows are cut into buckets of
+time so that one long recording is many tasks; what a bucket can't see, a stream's last row before it (or the first
+after), comes from one small row per bucket.
 """
 
 from __future__ import annotations
@@ -17,21 +18,57 @@ from tidelane.plans.joins import join_null_safe
 BUCKET = 60_000_000_000
 
 
-def _united(left: DataFrame, right: DataFrame, by: list[str], ts: str, seq: str, bucket: int) -> DataFrame:
-    keys = [f"k{i}" for i in range(len(by))]
-    def side(df: DataFrame, n: int, name: str, other: DataFrame, other_name: str) -> DataFrame:
-        row = F.struct(*df.columns).alias(name)
-        empty = F.lit(None).cast(other.select(F.struct(*other.columns).alias("x")).schema["x"].dataType).alias(other_name)
-        return df.select(*(F.col(b).alias(k) for b, k in zip(by, keys, strict=True)), F.col(ts).cast("bigint").alias("t"), F.lit(n).alias("side"), F.col(seq).alias("q"), *([row, empty] if name == "l" else [empty, row])).where(usable_stamp(F.col("t")))
+def _matches(main: DataFrame, streams: list[tuple[DataFrame, str]], by: list[str], ts: str, seq: str, bucket: int) -> DataFrame:
+    """Rows of ``main`` as struct ``l``, their time ``t``, and ``m0``, ``m1``, ...: (t, r) of each stream's match.
 
-    both = side(left, 1, "l", right, "r").unionByName(side(right, 0, "r", left, "l"))
-    return both.withColumn("b", floor_div(F.col("t"), bucket))
+    Keys are one struct, so that null keys are equal and the join on them needs no other shuffle than the windows'.
+    """
+    sides = [main, *(rows for rows, _ in streams)]
+    names = ["l", *(f"r{i}" for i in range(len(streams)))]
+    kinds = [df.select(F.struct(*df.columns).alias("x")).schema["x"].dataType for df in sides]
+
+    def side(n: int) -> DataFrame:
+        df = sides[n]
+        # Of equal stamps a nearest stream gives its first arrival, a causal one its last: the later one in this order.
+        turn = F.lit(0) if n == 0 else F.col(seq) if streams[n - 1][1] == "causal" else -F.col(seq)
+        own = [F.struct(*df.columns).alias(c) if i == n else F.lit(None).cast(kind).alias(c) for i, (c, kind) in enumerate(zip(names, kinds, strict=True))]
+        rows = df.select(F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(by))).alias("k"), F.col(ts).cast("bigint").alias("t"), F.lit(n == 0).alias("clock"), turn.cast("bigint").alias("o"), *own)
+        return rows.where(usable_stamp(F.col("t"))).withColumn("b", floor_div(F.col("t"), bucket))
+
+    both = side(0)
+    for n in range(1, len(sides)):
+        both = both.unionByName(side(n))
+    order = Window.partitionBy("k", "b").orderBy("t", "clock", "o").rowsBetween(Window.unboundedPreceding, 0)
+    back_order = Window.partitionBy("k", "b").orderBy(F.desc("t"), F.desc("clock"), "o").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    back_along = Window.partitionBy("k").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
+    inside, ends, carry = [], [], []
+    for i, (_, mode) in enumerate(streams):
+        there = F.col(f"r{i}").isNotNull()
+        inside.append(F.last(F.when(there, F.struct("t", F.col(f"r{i}").alias("r"))), ignorenulls=True).over(order).alias(f"back{i}"))
+        ends.append(F.max(F.when(there, F.struct("t", "o", F.col(f"r{i}").alias("r")))).alias(f"last{i}"))
+        carry.append(F.last(f"last{i}", ignorenulls=True).over(along).alias(f"before{i}"))
+        if mode == "nearest":
+            inside.append(F.last(F.when(there, F.struct("t", F.col(f"r{i}").alias("r"))), ignorenulls=True).over(back_order).alias(f"ahead{i}"))
+            ends.append(F.min(F.when(there, F.struct("t", (-F.col("o")).alias("o"), F.col(f"r{i}").alias("r")))).alias(f"first{i}"))
+            carry.append(F.last(f"first{i}", ignorenulls=True).over(back_along).alias(f"after{i}"))
+    rows = both.select("k", "b", "t", "clock", "l", *inside).where("clock")
+    joined = rows.join(both.groupBy("k", "b").agg(*ends).select("k", "b", *carry), ["k", "b"])
+    plain = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.t").alias("t"), F.col(f"{c}.r").alias("r")))
+    found = []
+    for i, (_, mode) in enumerate(streams):
+        match = F.coalesce(f"back{i}", plain(f"before{i}"))
+        if mode == "nearest":
+            later = F.coalesce(f"ahead{i}", plain(f"after{i}"))
+            match = F.when(match.isNull() | (later["t"] - F.col("t") < F.col("t") - match["t"]), F.coalesce(later, match)).otherwise(match)
+        found.append(match.alias(f"m{i}"))
+    return joined.select("l", "t", *found)
 
 
 def asof(left: DataFrame, right: DataFrame, *, by: list[str], ts: str, seq: str, mode: str = "causal", tolerance: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """Every row of ``left`` (as struct ``l``) with its match in ``right`` (struct ``r``, NULL if none) and ``dt``, the match's time minus its own.
 
-    Both sides have the columns ``by``, ``ts`` (BIGINT) and ``seq`` (arrival).  Modes: 'causal', the newest row at or before;
+    Both sides have the columns ``by``, ``ts`` and ``seq`` (arrival), both BIGINT.  Modes: 'causal', the newest row at or before;
     of equal stamps the last arrival.  'nearest', the row at the smallest distance; of equal distances the earlier, of
     equal stamps the first arrival.  Beyond ``tolerance`` there is no match.
 
@@ -40,30 +77,10 @@ def asof(left: DataFrame, right: DataFrame, *, by: list[str], ts: str, seq: str,
     """
     if mode not in ("causal", "nearest"):
         raise ValueError("mode must be causal or nearest")
-    if mode == "nearest":
-        first = right.groupBy(*by, ts).agg(F.min(F.struct(seq, *(c for c in right.columns if c not in (*by, ts, seq)))).alias("_r"))
-        right = first.select(*by, ts, *(F.col(f"_r.{c}").alias(c) for c in right.columns if c not in (*by, ts)))
-    keys = [f"k{i}" for i in range(len(by))]
-    both = _united(left, right, by, ts, seq, bucket)
-    order = Window.partitionBy(*keys, "b").orderBy("t", "side", "q")
-    back = F.last(F.when(F.col("side") == 0, F.struct("t", "r")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(F.when(F.col("side") == 0, F.struct("t", "r")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
-    inside = both.select("*", back.alias("back"), *([ahead.alias("ahead")] if mode == "nearest" else [])).where("side = 1")
-
-    ends = both.groupBy(*keys, "b").agg(F.max(F.when(F.col("side") == 0, F.struct("t", "q", "r"))).alias("last"), F.min(F.when(F.col("side") == 0, F.struct("t", "q", "r"))).alias("first"))
-    along = Window.partitionBy(*keys).orderBy("b")
-    carry = ends.select(*(F.col(k).alias(f"c_{k}") for k in keys), F.col("b").alias("c_b"), F.last("last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("after"))
-    on = [inside["b"] == carry["c_b"], *(inside[k].eqNullSafe(carry[f"c_{k}"]) for k in keys)]
-    joined = inside.join(carry, on)
-    plain = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.t").alias("t"), F.col(f"{c}.r").alias("r")))
-    match = F.coalesce("back", plain("before"))
-    if mode == "nearest":
-        later = F.coalesce("ahead", plain("after"))
-        match = F.when(match.isNull() | (later["t"] - F.col("t") < F.col("t") - match["t"]), F.coalesce(later, match)).otherwise(match)
-    out = joined.select("l", "t", match.alias("m"))
-    dt = F.col("m.t") - F.col("t")
+    out = _matches(left, [(right, mode)], by, ts, seq, bucket)
+    dt = F.col("m0.t") - F.col("t")
     near = F.lit(True) if tolerance is None else F.abs(dt) <= tolerance
-    return out.select("l", F.when(near, F.col("m.r")).alias("r"), F.when(near, dt).alias("dt"))
+    return out.select("l", F.when(near, F.col("m0.r")).alias("r"), F.when(near, dt).alias("dt"))
 
 
 def fill_kind(frames: DataFrame, commands: DataFrame, observations: DataFrame, *, buffer_frames: int) -> DataFrame:
@@ -92,17 +109,16 @@ def fill_counts(kinds: DataFrame, by: list[str]) -> DataFrame:
     return kinds.groupBy(*by).agg(of("exact"), of("hold_last"), of("fallback_to_observation"), of("dropped"))
 
 
-def align(main: DataFrame, streams: dict[str, tuple[DataFrame, str]], *, by: list[str], ts: str, seq: str, complete: bool = True) -> DataFrame:
-    """Each row of the main clock with one row of each other stream {name: (rows, mode)}.
+def align(main: DataFrame, streams: dict[str, tuple[DataFrame, str]], *, by: list[str], ts: str, seq: str, complete: bool = True, bucket: int = BUCKET) -> DataFrame:
+    """Each row of the main clock with one row of each other stream {name: (rows, mode)}, all in one pass (see :func:`asof`).
 
     Columns of the main stream, then a struct per stream.  With ``complete`` frames that lack any stream are dropped.
     """
-    out = main
-    for name, (rows, mode) in streams.items():
-        out = asof(out, rows, by=by, ts=ts, seq=seq, mode=mode).select("l.*", F.col("r").alias(name))
-        if complete:
-            out = out.where(F.col(name).isNotNull())
-    return out
+    if any(mode not in ("causal", "nearest") for _, mode in streams.values()):
+        raise ValueError("a mode must be causal or nearest")
+    out = _matches(main, list(streams.values()), by, ts, seq, bucket)
+    out = out.select("l.*", *(F.col(f"m{i}.r").alias(name) for i, name in enumerate(streams)))
+    return out.dropna(subset=list(streams)) if complete else out
 
 
 def fresh(value: Column, age: Column, most: float) -> Column:
@@ -112,11 +128,13 @@ def fresh(value: Column, age: Column, most: float) -> Column:
 
 def merge_arms(arms: dict[str, DataFrame], *, by: list[str], ts: str, seq: str) -> DataFrame:
     """Vectors of all arms on the first arm's clock (order of names), concatenated; a missing arm is left out."""
-    names = sorted(arms)
-    out = arms[names[0]]
-    for name in names[1:]:
-        out = asof(out, arms[name], by=by, ts=ts, seq=seq, mode="nearest").select(*(F.col(f"l.{c}").alias(c) for c in out.columns if c != "values"), F.when(F.col("r").isNull(), F.col("l.values")).otherwise(F.concat("l.values", "r.values")).alias("values"))
-    return out
+    first, *others = sorted(arms)
+    if not others:
+        return arms[first]
+    out = align(arms[first], {f"_{n}": (arms[n], "nearest") for n in others}, by=by, ts=ts, seq=seq, complete=False)
+    none = F.array().cast(arms[first].schema["values"].dataType)
+    values = F.concat("values", *(F.coalesce(F.col(f"_{n}.values"), none) for n in others))
+    return out.select(*(c for c in arms[first].columns if c != "values"), values.alias("values"))
 
 
 def merge_rigs(arms: dict[str, DataFrame], *, by: list[str], ts: str, seq: str) -> DataFrame:

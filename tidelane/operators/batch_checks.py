@@ -5,10 +5,12 @@ Reports have the columns episode, topic, label, role, avg_fps, severity, reason
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelane.operators.coverage import rank, severity_of, worst
+from tidelane.operators.medians import grouped_median, ranked_values
+from tidelane.plans.joins import join_null_safe
 
 
 def latest_reports(reports: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
@@ -22,20 +24,21 @@ def rate_degradation(reports: DataFrame, tolerance: float = 0.15, group: list[st
     """Streams whose rate is below (1 - tolerance) x the median of the *other* episodes' rates; pass becomes warning.
 
     One report per episode in each ``group`` (default topic and label).  The median without oneself is read from the ranks of
-    the sorted group: with n rates and own rank r (from 0), others' k-th is rate k or k + 1.  No self-join, no list per group:
-    three window values at fixed ranks.  A rate alone in its group is not degraded; NULL rates have no part.
+    all rates: others' k-th rate is the k-th or (k + 1)-th of all, by whether the own one is before it.  The four ranks come from
+    counts by bin (:func:`ranked_values`), so a topic that every episode has is never ordered in one task.  A rate alone in its
+    group is not degraded; NULL rates have no part; equal rates are one value with its count.
     """
     group = group or ["topic", "label"]
-    rated = reports.where((F.col("role") == "stream") & F.col("avg_fps").isNotNull() & ~F.isnan("avg_fps"))
-    ranked = rated.select(*group, "episode", "avg_fps", F.row_number().over(Window.partitionBy(*group).orderBy("avg_fps", "episode")).alias("r"), F.count(F.lit(1)).over(Window.partitionBy(*group)).alias("n"))
-    m = F.col("n") - 1
-    at = lambda k: F.max(F.when(F.col("r") == k, F.col("avg_fps"))).over(Window.partitionBy(*group))
-    low, high = F.expr("(n - 2) div 2"), F.expr("(n - 1) div 2")
-    near = ranked.select("*", *(at(k).alias(n) for k, n in ((low + 1, "l0"), (low + 2, "l1"), (high + 1, "h0"), (high + 2, "h1"))))
-    # The k-th of the others (from 0) is the k-th of all if it is before oneself, else the next.
-    own = lambda k, a, b: F.when(k + 1 < F.col("r"), F.col(a)).otherwise(F.col(b))
-    median = (own(low, "l0", "l1") + own(high, "h0", "h1")) / 2
-    return near.where(m >= 1).select(*group, "episode", "avg_fps", median.alias("others_median"), (F.col("avg_fps") < (1 - tolerance) * median).alias("degraded"))
+    rated = reports.where((F.col("role") == "stream") & F.col("avg_fps").isNotNull() & ~F.isnan("avg_fps")).select(*group, "episode", "avg_fps")
+    # From 0, of n rates: the places at which the others' two middle ones may stand.
+    places = F.array_distinct(F.transform(F.array(F.expr("(n - 2) div 2"), F.expr("(n - 2) div 2 + 1"), F.expr("(n - 1) div 2"), F.expr("(n - 1) div 2 + 1")), lambda k: F.least(k, F.col("n") - 1)))
+    values = ranked_values(rated, group, "avg_fps", places)
+    at = values.groupBy(*group).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("v")).where("n > 1")
+    near = join_null_safe(rated, at, group)
+    # The own rate stands before place k if it is below the value there; an equal one changes nothing.
+    own = lambda k: F.when(F.col("avg_fps") <= F.element_at("v", k), F.element_at("v", k + 1)).otherwise(F.element_at("v", k))
+    median = (own(F.expr("(n - 2) div 2")) + own(F.expr("(n - 1) div 2"))) / 2
+    return near.select(*group, "episode", "avg_fps", median.alias("others_median"), (F.col("avg_fps") < (1 - tolerance) * median).alias("degraded"))
 
 
 def apply_rate_check(reports: DataFrame, tolerance: float = 0.15) -> DataFrame:
@@ -61,25 +64,29 @@ def topic_health(reports: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Counts by severity and smallest, median and largest rate of each label."""
     of = lambda s: F.count_if(F.col("severity") == s)
     rate = F.when(~F.isnan("avg_fps"), F.col("avg_fps"))
-    return reports.groupBy(*(by or ["label"])).agg(of("pass").alias("passes"), of("warning").alias("warnings"), of("critical").alias("criticals"), F.min(rate).alias("min_fps"), F.median(rate).alias("median_fps"), F.max(rate).alias("max_fps"))
+    by = by or ["label"]
+    counts = reports.groupBy(*by).agg(of("pass").alias("passes"), of("warning").alias("warnings"), of("critical").alias("criticals"), F.min(rate).alias("min_fps"), F.max(rate).alias("max_fps"))
+    medians = grouped_median(reports.select(*by, rate.alias("_rate")), by, "_rate").withColumnRenamed("median", "median_fps")
+    return join_null_safe(counts, medians, by, "left")
 
 
 def flagged(reports: DataFrame) -> DataFrame:
     return reports.where(F.col("severity") != "pass")
 
 
+def flagged_episodes(reports: DataFrame) -> DataFrame:
+    """Each episode of each (label, severity) that isn't pass, with its first reason: one row each, all of them."""
+    return flagged(reports).groupBy("label", "severity", "episode").agg(F.min("reason").alias("reason"))
+
+
 def flagged_groups(reports: DataFrame) -> DataFrame:
-    """For each (label, severity) that isn't pass: number of episodes, the first 20 of them, and the first one's reason.
+    """For each (label, severity) that isn't pass: number of episodes, the first of them and its reason.
 
-    The names are a report's fixed-size head: they come from ranks, not from a list of all.
+    The episodes themselves are rows of :func:`flagged_episodes`, never a list.
     """
-    per = flagged(reports).groupBy("label", "severity", "episode").agg(F.min("reason").alias("reason"))
-    per = per.withColumn("r", F.row_number().over(Window.partitionBy("label", "severity").orderBy("episode")))
-    return per.groupBy("label", "severity").agg(
-        F.count(F.lit(1)).alias("episodes"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= 20, F.struct("r", "episode")))), lambda x: x["episode"]), ",").alias("first_episodes"),
-        F.min_by("reason", "r").alias("first_reason"),
-    )
+    first = F.min(F.struct("episode", "reason"))
+    per = flagged_episodes(reports).groupBy("label", "severity").agg(F.count(F.lit(1)).alias("episodes"), first.alias("_f"))
+    return per.select("label", "severity", "episodes", F.col("_f.episode").alias("first_episode"), F.col("_f.reason").alias("first_reason"))
 
 
 def readiness(episodes: DataFrame) -> DataFrame:
@@ -99,4 +106,4 @@ def severity_order(severity: Column) -> Column:
     return -rank(severity)
 
 
-__all__ = ["apply_rate_check", "flagged", "flagged_groups", "latest_reports", "missing_topics", "quality_gate", "rate_degradation", "readiness", "severity_of", "severity_order", "topic_health", "worst"]
+__all__ = ["apply_rate_check", "flagged", "flagged_episodes", "flagged_groups", "latest_reports", "missing_topics", "quality_gate", "rate_degradation", "readiness", "severity_of", "severity_order", "topic_health", "worst"]

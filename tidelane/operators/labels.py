@@ -96,15 +96,21 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     return text.select("file", F.try_variant_get("v", "$.status", "string").alias("status"), F.coalesce(F.col("v").try_cast("map<string,string>"), F.create_map().cast("map<string,string>")).alias("fields"))
 
 
-def session_metadata(labels: DataFrame, session: str, episode: str, size: str, status: str, basket_of_size: dict[str, str]) -> DataFrame:
-    """Per session: episodes, the first 20 of the aborted ones, their number, and the basket by the rule of sizes if it is one for all."""
+def session_episodes(labels: DataFrame, session: str, episode: str, status: str) -> DataFrame:
+    """One row per episode of a session: (session, episode, aborted), all of them; an episode is aborted if any of its rows says so."""
+    return labels.groupBy(session, episode).agg(F.max(F.coalesce(F.col(status) == "aborted", F.lit(False))).alias("aborted"))
+
+
+def session_metadata(labels: DataFrame, session: str, size: str, status: str, basket_of_size: dict[str, str]) -> DataFrame:
+    """Per session: episodes, how many of them were aborted, and the basket by the rule of sizes if it is one for all.
+
+    The episodes themselves, aborted ones among them, are rows of :func:`session_episodes`, never a list.
+    """
     from tidelane.functions.names import lookup
 
-    basket = lookup(label_alias(F.col(size), SIZE_ALIASES), basket_of_size)
-    rows = labels.withColumns({"_b": basket, "_aborted": F.col(status) == "aborted"})
-    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(session, "_aborted").orderBy(episode)))
+    rows = labels.withColumn("_b", lookup(label_alias(F.col(size), SIZE_ALIASES), basket_of_size))
     one = F.when(F.min("_b") == F.max("_b"), F.min("_b"))
-    return rows.groupBy(session).agg(F.count(F.lit(1)).alias("episodes"), F.count_if("_aborted").alias("aborted"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_aborted") & (F.col("_r") <= 20), F.struct("_r", episode)))), lambda x: x[episode].cast("string")), ",").alias("first_aborted"), one.alias("basket"))
+    return rows.groupBy(session).agg(F.count(F.lit(1)).alias("episodes"), F.count_if(F.col(status) == "aborted").alias("aborted"), one.alias("basket"))
 
 
 def stamp_sidecars(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelane.operators.medians import grouped_percentiles
+from tidelane.plans.joins import join_null_safe
+from tidelane.plans.places import number_bin, with_places
+
 
 def paired(rows: DataFrame) -> DataFrame:
     """Rows with a finite prediction and truth and their error; copies count once."""
@@ -63,16 +67,18 @@ def metrics_table(joints: DataFrame, names: list[str], metric: str = "mae") -> D
 def joint_spread(joints: DataFrame, splits: DataFrame, metric: str = "mae") -> DataFrame:
     """Quartiles of the episodes' metric by split and joint, with the counts beyond 1.5 interquartile ranges."""
     rows = joints.join(splits, "episode_idx")
-    q = rows.groupBy("split", "joint").agg(*(F.percentile(metric, p).alias(n) for n, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))), F.count(F.lit(1)).alias("episodes"))
+    quartiles = grouped_percentiles(rows, ["split", "joint"], metric, [0.25, 0.5, 0.75])
+    q = join_null_safe(rows.groupBy("split", "joint").agg(F.count(F.lit(1)).alias("episodes")), quartiles, ["split", "joint"], "left")
+    q = q.select("split", "joint", *(F.get("percentiles", F.lit(i)).alias(n) for i, n in enumerate(("q25", "q50", "q75"))), "episodes")
     m, width = F.col(metric), F.col("q75") - F.col("q25")
     out = rows.join(q, ["split", "joint"]).groupBy("split", "joint").agg(F.count_if((m < F.col("q25") - 1.5 * width) | (m > F.col("q75") + 1.5 * width)).alias("outliers"))
     return q.join(out, ["split", "joint"])
 
 
 def batch_loss(rows: DataFrame, by: str, order: str, loss: str, size: int) -> DataFrame:
-    """Unweighted mean of the batches' mean losses (the last batch may be smaller)."""
-    place = F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1
-    batches = rows.withColumn("batch", F.floor(place / size)).groupBy(by, "batch").agg(F.avg(loss).alias("m"))
+    """Unweighted mean of the batches' mean losses (the last batch may be smaller); ``order`` is a BIGINT column."""
+    placed = with_places(rows.select(by, order, loss), [by], [F.col(order)], number_bin(order))
+    batches = placed.withColumn("batch", F.call_function("div", "_place", F.lit(size).cast("bigint"))).groupBy(by, "batch").agg(F.avg(loss).alias("m"))
     return batches.groupBy(by).agg(F.avg("m").alias("loss"), F.count(F.lit(1)).alias("batches"))
 
 

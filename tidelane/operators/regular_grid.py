@@ -60,9 +60,11 @@ def regular_grid(df: DataFrame, series: list[str], slot: str, *, value: str | No
 
     inside = Window.partitionBy(*names, "blk").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
     last = F.coalesce(F.last(F.when(F.col("v").isNotNull(), F.struct("slot", "v")), ignorenulls=True).over(inside), F.col("carry"))
-    filled = joined.withColumn("last", last)
+    seen = F.last(F.when(F.col("readings").isNotNull(), F.col("slot")), ignorenulls=True).over(inside)
+    filled = joined.withColumns({"last": last, "seen": seen})
     near = F.col("last").isNotNull() & (F.lit(True) if max_gap is None else F.col("slot") - F.col("last.slot") <= F.lit(max_gap))
-    read = F.col("readings").isNotNull()
+    # What is carried forward to a slot with a reading is that reading.
+    read = F.coalesce(F.col("seen") == F.col("slot"), F.lit(False))
     return filled.select(
         *(F.col(n).alias(c) for n, c in zip(names, series, strict=True)),
         "slot",

@@ -8,6 +8,8 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelane.plans.places import number_bin, with_places
+
 
 def split_counts(n: int, ratios: tuple[float, ...]) -> tuple[int, int, int]:
     """Sizes of the three parts: test and validation rounded half to even, the rest is train.  Two ratios: no test."""
@@ -51,13 +53,12 @@ def contiguous_ranges(n: int, ratios: tuple[float, float, float]) -> dict[str, t
 
 
 def contiguous_split(episodes: DataFrame, episode: str, ratios: tuple[float, float, float]) -> DataFrame:
-    """Episodes in their order cut into train, val and test (one window over episode numbers, a metadata table)."""
-    placed = episodes.select(episode).distinct().withColumn("_p", F.row_number().over(Window.orderBy(episode)) - 1)
-    rows = placed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    n, whole = F.col("_n"), sum(ratios)
+    """Episodes (BIGINT) in their order cut into train, val and test; their places come from bins of numbers."""
+    rows = with_places(episodes.select(episode).distinct(), [], [F.col(episode)], number_bin(episode))
+    n, whole = F.col("_total"), sum(ratios)
     part = lambda r: F.when((n >= 3) & F.lit(r > 0), F.greatest(F.lit(1), F.rint(n * r / whole).cast("int"))).otherwise(0)
     val, test = part(ratios[1]), part(ratios[2])
-    return rows.select(episode, F.when(F.col("_p") < n - val - test, "train").when(F.col("_p") < n - test, "val").otherwise("test").alias("split"))
+    return rows.select(episode, F.when(F.col("_place") < n - val - test, "train").when(F.col("_place") < n - test, "val").otherwise("test").alias("split"))
 
 
 def _digest(seed: int, stratum: Column, episode: Column) -> Column:
@@ -66,12 +67,11 @@ def _digest(seed: int, stratum: Column, episode: Column) -> Column:
 
 def stratified_split(episodes: DataFrame, *, episode: str, stratum: str, ratios: tuple[float, float, float], seed: int) -> DataFrame:
     """Split of (episode, stratum) by rank of a seeded digest inside the stratum; strata don't depend on one another."""
-    digest = _digest(seed, F.col(stratum), F.col(episode))
-    own = Window.partitionBy(stratum)
-    placed = episodes.select(episode, stratum).distinct().withColumns({"_r": F.row_number().over(own.orderBy(digest, episode)), "_n": F.count(F.lit(1)).over(own)})
+    digested = episodes.select(episode, stratum).distinct().withColumn("_d", _digest(seed, F.col(stratum), F.col(episode)))
+    placed = with_places(digested, [stratum], [F.col("_d"), F.col(episode)], F.substring("_d", 1, 3)).withColumn("_r", F.col("_place") + 1)
     total = sum(ratios)
-    test, val = (F.rint(F.col("_n") * r / total) for r in (ratios[2], ratios[1]))
-    train = F.col("_n") - test - val
+    test, val = (F.rint(F.col("_total") * r / total) for r in (ratios[2], ratios[1]))
+    train = F.col("_total") - test - val
     return placed.select(episode, stratum, F.when(F.col("_r") <= train, "train").when(F.col("_r") <= train + val, "val").otherwise("test").alias("split"))
 
 
@@ -126,5 +126,10 @@ def shard_plan(n: int, shards: int) -> list[tuple[int, int]]:
 
 
 def shards(episodes: DataFrame, episode: str, count: int) -> DataFrame:
-    """Shard number (from 0) of each episode, contiguous and larger ones first."""
-    return episodes.select(episode).distinct().withColumn("shard", F.ntile(count).over(Window.orderBy(episode)) - 1)
+    """Shard number (from 0) of each episode (BIGINT), contiguous and larger ones first."""
+    placed = with_places(episodes.select(episode).distinct(), [], [F.col(episode)], number_bin(episode))
+    size, more = F.expr(f"_total div {count}"), F.expr(f"_total % {count}")
+    # The first ones hold one episode more.
+    large = more * (size + 1)
+    shard = F.when(F.col("_place") < large, F.call_function("div", "_place", size + 1)).otherwise(more + F.call_function("div", F.col("_place") - large, F.greatest(size, F.lit(1))))
+    return placed.select(episode, shard.cast("int").alias("shard"))

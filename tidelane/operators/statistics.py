@@ -5,26 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelane.operators.medians import grouped_percentiles
+from tidelane.plans.joins import join_null_safe
+
 POINTS = {"q01": 0.01, "q10": 0.10, "q50": 0.50, "q90": 0.90, "q99": 0.99}
 
 
-def _aggregates(x: Column, points: dict[str, float] = POINTS) -> list[Column]:
-    return [F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), *(F.percentile(x, p).alias(n) for n, p in points.items())]
+def _aggregates(x: Column) -> list[Column]:
+    return [F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")]
 
 
 def feature_stats(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """Count, extremes, mean, population deviation and exact linear quantiles of a value per group.
 
-    ``percentile`` keeps the distinct values of a group; for groups of unbounded size use radix percentiles or
-    :func:`histogram_stats` instead.  Null values don't count; NaN is largest.
+    The quantiles come from counts by bin (:func:`tidelane.operators.medians.ranked_values`), so a group may have any size.
+    Null values don't count (a group of nulls has a count of 0 and no statistics); NaN is largest.
     """
-    return rows.groupBy(*by).agg(*_aggregates(F.col(value)))
+    quantiles = grouped_percentiles(rows, by, value, list(POINTS.values()))
+    both = join_null_safe(rows.groupBy(*by).agg(*_aggregates(F.col(value))), quantiles, by, "left")
+    return both.select(*(c for c in both.columns if c != "percentiles"), *(F.get("percentiles", F.lit(i)).alias(n) for i, n in enumerate(POINTS)))
 
 
 def grouped_stats(rows: DataFrame, common: list[str], extra: str, value: str) -> DataFrame:
-    """Statistics per ``common`` group (``extra`` NULL) and per ``common`` and ``extra``, in one pass."""
-    cols = [F.col(c) for c in (*common, extra)]
-    return rows.groupingSets([[F.col(c) for c in common], cols], *cols).agg(*_aggregates(F.col(value)), F.grouping(extra).alias("over_all"))
+    """Statistics per ``common`` group (``extra`` NULL, ``over_all`` 1) and per ``common`` and ``extra`` (``over_all`` 0)."""
+    whole = feature_stats(rows, common, value).select(*common, F.lit(None).cast(rows.schema[extra].dataType).alias(extra), "count", "min", "max", "mean", "std", *POINTS, F.lit(1).cast("tinyint").alias("over_all"))
+    return whole.unionByName(feature_stats(rows, [*common, extra], value).withColumn("over_all", F.lit(0).cast("tinyint")))
 
 
 def vector_rows(rows: DataFrame, keep: list[str], vector: str) -> DataFrame:
