@@ -1,6 +1,6 @@
 import json
 
-from tidelane.operators.schema_drift import damaged, ingest, promote, schema_changes
+from tidelane.operators.schema_drift import damaged, held_fields, ingest, promote, schema_changes
 
 SCHEMA = "feed string, no long, line string"
 
@@ -11,8 +11,18 @@ def records(spark, lines, target=None):
 
 
 def changes(spark, lines):
-    df, rows = records(spark, lines)
-    return {tuple(r) for r in schema_changes(df, rows, feed="feed", file_no="no", pair_keys=["ep", "topic"]).collect()}
+    df, _ = records(spark, lines)
+    return {tuple(r) for r in schema_changes(df, "line", {"ep": "string", "topic": "string", "fps": "bigint", "x": "double"}, feed="feed", file_no="no", pair_keys=["ep", "topic"]).collect()}
+
+
+def test_strict_ingestion_tells_all_fields_by_columns_and_rescue(spark):
+    lines = [("a", 1, {"n": 5, "name": "x"}), ("a", 1, {"n": "7", "name": 3, 'q"\n': [1]}), ("a", 1, {"n": None, "name": "", "o": {"p": 1}})]
+    df = spark.createDataFrame([(f, n, json.dumps(x)) for f, n, x in lines], SCHEMA)
+    rows = ingest(df, "line", ["feed", "no"], {"n": "bigint", "name": "string"}, strict=True)
+    got = sorted(((r.t_n, r.t_name, json.loads(r.rescued) if r.rescued else None) for r in rows.collect()), key=str)
+    assert got == sorted([(5, "x", None), (None, None, {"n": "7", "name": 3, 'q"\n': [1]}), (None, "", {"n": None, "o": {"p": 1}})], key=str)
+    told = {(r.name, r.kind) for r in held_fields(rows, ["no"], {"n": "bigint", "name": "string"}, values=False).collect()}
+    assert told == {("n", "number"), ("n", "string"), ("n", None), ("name", "string"), ("name", "number"), ('q"\n', "array"), ("o", "object")}
 
 
 def test_typed_and_rescued_values(spark):

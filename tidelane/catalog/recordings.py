@@ -66,7 +66,7 @@ def report_records(spark: SparkSession, folder: str) -> DataFrame:
 def schema_report(spark: SparkSession, folder: str) -> DataFrame:
     """Each field added, removed, renamed or retyped from file to file."""
     raw = table(spark, folder, "raw_reports")
-    return schema_changes(raw, ingest(raw, "payload", ["feed", "file_no"], REPORT_SCHEMA), feed="feed", file_no="file_no", pair_keys=["episode", "topic"])
+    return schema_changes(raw, "payload", REPORT_SCHEMA, feed="feed", file_no="file_no", pair_keys=["episode", "topic"])
 
 
 SCHEMA_SQL = """
@@ -176,9 +176,9 @@ DAMAGED_SQL = "SELECT feed, count(DISTINCT raw_id) AS lines FROM raw_reports WHE
 
 
 STATUS_SQL = """
-WITH s AS (SELECT 'frame' k, episode_idx || '|' || camera series, stamp_ns // 500000000 slot, stamp_ns AS at, NULL::DOUBLE AS v FROM frames WHERE stamp_ns > 0
+WITH s AS (SELECT 'frame' k, episode_idx || '|' || camera series, stamp_ns // 500000000 slot, stamp_ns AS tm, NULL::DOUBLE AS v FROM frames WHERE stamp_ns > 0
            UNION ALL SELECT 'report', dataset || '|' || topic, CAST(floor(epoch_us(scanned_at) / 3600000000) AS BIGINT), epoch_us(scanned_at), avg_fps FROM topic_reports WHERE avg_fps > 0 AND NOT isnan(avg_fps)),
-b AS (SELECT k, series, slot, arg_max(v, {'at': at, 'v': v}) AS v FROM s WHERE series IS NOT NULL GROUP BY ALL),
+b AS (SELECT k, series, slot, arg_max(v, {'tm': tm, 'v': v}) AS v FROM s WHERE series IS NOT NULL GROUP BY ALL),
 n AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN slot END IGNORE NULLS) OVER w AS held, coalesce(lead(slot) OVER (PARTITION BY k, series ORDER BY slot), slot + 1) AS nxt FROM b WINDOW w AS (PARTITION BY k, series ORDER BY slot ROWS UNBOUNDED PRECEDING)),
 g AS (SELECT k, slot AS seen, held, unnest(range(slot, nxt)) AS slot FROM n)
 SELECT k AS series_kind, CASE WHEN slot = seen THEN 'read' WHEN slot - held <= 6 THEN 'filled' ELSE 'missing' END AS status, count(*) AS slots FROM g GROUP BY ALL

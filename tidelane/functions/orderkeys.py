@@ -27,7 +27,8 @@ def order_key(value: Column) -> Column:
     fraction = ((size * F.pow(F.lit(2.0), -exponent) - 1) * float(1 << FRACTION)).cast("bigint")
     normal = F.shiftleft((exponent + BIAS).cast("bigint"), FRACTION) + fraction
     bits = F.when(size == 0, F.lit(0).cast("bigint")).when(size < NORMAL, (size * HALF * HALF).cast("bigint")).when(size == float("inf"), F.lit(TOP << FRACTION).cast("bigint")).otherwise(normal)
-    return F.when(x < 0, -bits - 1).otherwise(bits)
+    # Written so that the long expression stands once: generated code repeats it wherever it stands.
+    return bits * F.when(x < 0, -1).otherwise(1) - (x < 0).cast("bigint")
 
 
 def order_value(key: Column) -> Column:

@@ -21,8 +21,8 @@ def ranked_values(rows: DataFrame, by: list[str], x: str, places: Column, count:
     """
     names = [f"g{i}" for i in range(len(by))]
     times = F.lit(1).cast("bigint") if count is None else F.col(count)
-    bins = rows.select(*(F.col(c).alias(g) for g, c in zip(names, by, strict=True)), F.col(x).cast("double").alias("x"), times.alias("c"))
-    bins = bins.groupBy(*names, "x").agg(F.sum("c").alias("c")).withColumn("b", F.when(F.isnan("x"), F.lit(1 << (BIN_BITS - 1)).cast("bigint")).otherwise(F.shiftright(order_key(F.col("x")), 64 - BIN_BITS))).where(F.col("b").isNotNull())
+    bins = rows.select(*(F.col(c).alias(g) for g, c in zip(names, by, strict=True)), F.col(x).cast("double").alias("x"), times.alias("c")).where(F.col("x").isNotNull())
+    bins = bins.groupBy(*names, "x").agg(F.sum("c").alias("c")).withColumn("b", F.when(F.isnan("x"), F.lit(1 << (BIN_BITS - 1)).cast("bigint")).otherwise(F.shiftright(order_key(F.col("x")), 64 - BIN_BITS)))
     sums = bins.groupBy(*names, "b").agg(F.sum("c").alias("c"))
     along = Window.partitionBy(*names).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*names, "b", "c", F.coalesce(F.sum("c").over(along), F.lit(0)).alias("base"), F.sum("c").over(Window.partitionBy(*names)).alias("n"))

@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelane.plans.joins import join_null_safe
+from tidelane.plans.joins import join_null_safe, small_side
 from tidelane.plans.lineage import cut
 
-#: JSON type by the SQL type name of a variant.
-JSON_TYPE = {
-    "ARRAY": "array",
-    "BIGINT": "number",
-    "BOOLEAN": "boolean",
-    "DECIMAL": "number",
-    "DOUBLE": "number",
-    "FLOAT": "number",
-    "OBJECT": "object",
-    "STRING": "string",
-}
+#: JSON type of the values that a SQL type holds as they are.
+OWN_TYPE = {"string": "string", "boolean": "boolean", "tinyint": "number", "smallint": "number", "int": "number", "bigint": "number", "float": "number", "double": "number"}
 SCALARS = ("string", "number", "boolean")
 
 
-def json_type(value: Column) -> Column:
-    """JSON type of a variant; NULL for a JSON null, which tells nothing."""
-    names = F.create_map(*(F.lit(x) for pair in JSON_TYPE.items() for x in pair))
-    return F.try_element_at(names, F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
+def json_type(text: Column) -> Column:
+    """JSON type of a JSON value's text by its first sign; NULL for a JSON null, which tells nothing."""
+    sign = F.substring(text, 1, 1)
+    return F.when(sign == '"', "string").when(sign == "{", "object").when(sign == "[", "array").when(sign.isin("t", "f"), "boolean").when(sign != "n", "number")
 
 
 def parse_record(payload: Column) -> Column:
@@ -41,32 +34,71 @@ def parse_record(payload: Column) -> Column:
 def _typed(fields: Column, name: str, kind: str) -> Column:
     """The value of a field as SQL type ``kind``; NULL if absent, not a scalar or not castable."""
     value = F.try_element_at(fields, F.lit(name))
-    return F.when(json_type(value).isin(*SCALARS), F.try_variant_get(value, "$", kind))
+    return F.when(json_type(F.to_json(value)).isin(*SCALARS), F.try_variant_get(value, "$", kind))
 
 
-def ingest(df: DataFrame, payload: str, keys: list[str], target: dict[str, str]) -> DataFrame:
+def ingest(df: DataFrame, payload: str, keys: list[str], target: dict[str, str], *, strict: bool = False) -> DataFrame:
     """Rescue-column ingestion of JSON lines into the ``target`` schema {field: SQL type}.
 
     Returns ``keys``, one column ``t_<field>`` per target field, ``rescued`` (a JSON object text with each
     non-null field that is not in the target, isn't a scalar or doesn't cast to its type; NULL if none) and
     ``fields`` (MAP<STRING, STRUCT<kind, value>>: JSON type and JSON text of each field of the record).
+    ``strict``: a value whose JSON type isn't that of its column isn't cast but rescued, and so are nulls, so
+    that typed columns and ``rescued`` together tell which fields a record has, and of which type.
 
     No value is lost: each non-null field is in its typed column or in ``rescued``.  Lines that are no intact
     record (see :func:`parse_record`) are left out; :func:`damaged` gives those.  Nulls in any column, empty
     and very long texts, copies and an empty table are fine; other columns are not read.
     """
     rows = df.select(*keys, parse_record(F.col(payload)).alias("_m")).where(F.col("_m").isNotNull())
-    rows = rows.select(*keys, "_m", *(_typed(F.col("_m"), f, kind).alias(f"t_{f}") for f, kind in target.items()))
+    rows = rows.select(*keys, "_m", F.transform_values("_m", lambda _, v: F.to_json(v)).alias("_t"))
+    held = {f: json_type(F.try_element_at("_t", F.lit(f))) for f in target}
+    fit = {f: held[f] == OWN_TYPE.get(kind.lower(), "") if strict else held[f].isin(*SCALARS) for f, kind in target.items()}
+    rows = rows.select(*keys, "_m", "_t", *(F.when(fit[f], F.try_variant_get(F.try_element_at("_m", F.lit(f)), "$", kind)).alias(f"t_{f}") for f, kind in target.items()))
     placed = F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(F.col(f"t_{f}").isNotNull(), F.lit(f)) for f in target)))
-    rest = F.map_filter("_m", lambda k, v: json_type(v).isNotNull() & ~F.array_contains(placed, k))
+    told = (lambda t: F.lit(True)) if strict else (lambda t: json_type(t).isNotNull())
+    # From texts, not from values: a JSON text stands as it is in the object's text.
+    rest = F.map_filter("_t", lambda k, t: told(t) & ~F.array_contains(placed, k))
+    rows = rows.select(*keys, "_t", *(f"t_{f}" for f in target), rest.alias("_rest"))
     return rows.select(
         *keys,
         *(f"t_{f}" for f in target),
-        F.when(F.cardinality(rest) > 0, F.to_json(rest)).alias("rescued"),
-        F.transform_values("_m", lambda _, v: F.struct(json_type(v).alias("kind"), F.to_json(v).alias("value"))).alias("fields"),
+        F.when(F.cardinality("_rest") > 0, F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries("_rest"), lambda e: F.concat(_quoted(e["key"]), F.lit(":"), e["value"])), ","), F.lit("}"))).alias("rescued"),
+        F.transform_values("_t", lambda _, t: F.struct(json_type(t).alias("kind"), t.alias("value"))).alias("fields"),
     )
 
 
+def _quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(text.rlike(r'[\\"\x00-\x1f]'), F.regexp_extract(F.to_json(F.struct(text.alias("k"))), r"(?s)^\{\"k\":(.*)\}$", 1)).otherwise(plain)
+
+
+def held_fields(ingested: DataFrame, keys: list[str], target: dict[str, str], *, values: bool, only: Column | None = None) -> DataFrame:
+    """(keys, ``name``, ``kind``) of each field of each strictly ingested record, from its typed columns and its rescued fields.
+
+    ``kind`` is the JSON type, NULL for a null.  With ``values`` also ``value``, a text that is equal for equal values
+    of a kind (numbers as doubles).  Of records that don't fulfil ``only`` nothing is given.
+    """
+    def entry(name: Column, kind: Column, value: Column) -> Column:
+        return F.struct(name.alias("name"), kind.alias("kind"), *([value.alias("value")] if values else []))
+
+    def same(column: Column, kind: str) -> Column:
+        return (column.cast("double") if kind == "number" else column).cast("string")
+
+    rest = F.try_parse_json("rescued").try_cast("map<string,variant>")
+    rows = ingested.withColumn("_r", F.map_entries(F.transform_values(rest, lambda _, v: F.struct(F.to_json(v).alias("t"), *([F.try_variant_get(v, "$", "string").alias("s")] if values else [])))))
+    typed = [F.when(F.col(f"t_{f}").isNotNull(), entry(F.lit(f), F.lit(OWN_TYPE[kind.lower()]), same(F.col(f"t_{f}"), OWN_TYPE[kind.lower()]))) for f, kind in target.items() if kind.lower() in OWN_TYPE]
+
+    def rescued(e: Column) -> Column:
+        kind = json_type(e["value"]["t"])
+        text = e["value"]["t"]
+        return entry(e["key"], kind, F.when(kind == "number", text.try_cast("double").cast("string")).when(kind == "string", e["value"]["s"]).otherwise(text) if values else text)
+
+    all_ = F.concat(F.array_compact(F.array(*typed)), F.coalesce(F.transform("_r", rescued), F.array()))
+    return rows.select(*keys, F.explode(all_ if only is None else F.when(only, all_)).alias("x")).select(*keys, "x.*")
+
+
 def damaged(df: DataFrame, payload: str) -> DataFrame:
     """The rows of ``df`` whose payload is no intact record (null payloads too)."""
     return df.where(parse_record(F.col(payload)).isNull())
@@ -88,30 +120,32 @@ def promote(ingested: DataFrame, field: str, kind: str) -> DataFrame:
     return rows.withColumns({name: F.coalesce(had, value), "rescued": rescued}).drop("_m")
 
 
-def schema_changes(files: DataFrame, records: DataFrame, *, feed: str, file_no: str, pair_keys: list[str]) -> DataFrame:
+def schema_changes(df: DataFrame, payload: str, target: dict[str, str], *, feed: str, file_no: str, pair_keys: list[str]) -> DataFrame:
     """Each change of the top-level fields of a file against the previous present file of its feed.
 
-    Args: ``files`` has a row for each present file (at least; repeats are fine) with ``feed`` and ``file_no``;
-    ``records`` is a result of :func:`ingest` keyed by the same two columns.
+    Args: ``df`` has the lines of all files (a file is present if it has any line) with ``feed``, ``file_no`` and ``payload``;
+    ``target`` is the schema that they are ingested into (see :func:`ingest`); ``pair_keys`` are fields of it.
 
     Returns ``feed``, ``file_no``, ``change_kind`` ('added', 'removed', 'renamed', 'retyped'), ``field``,
     ``new_field`` (equal to ``field`` unless renamed).
 
     A file has a field if any of its records does.  A gone field is renamed to a new one if records of both
-    files with equal ``pair_keys`` (none null) hold non-null values under both names and all of these are
+    files with equal ``pair_keys`` (none null or of another type) hold non-null values under both names and all of these are
     equal.  If several fit, the pair with most records, then the first names, and each field once.
     Retyped: the sets of JSON types (nulls aside) differ and neither is empty.
 
     Defined cases: the first file of a feed changes nothing; a present file without records has no
     fields; null feeds and file numbers are left out; an empty table gives no row.
 
-    Names and types are reduced per file before the shuffle.  Values are compared only for the files in which
-    a field went and another came, reduced to one smallest and largest value per record key first.
+    Lines are ingested strictly, and the fields are those of the typed columns and of the rescue column.  Names and types are
+    reduced per file before the shuffle.  Values are read only of the files in which a field went and another came, reduced to
+    one smallest and largest value per record key first.
     """
-    present = files.select(F.col(feed).alias("feed"), F.col(file_no).alias("no")).where(F.col("feed").isNotNull() & F.col("no").isNotNull()).distinct()
+    lines = df.select(F.col(feed).alias("feed"), F.col(file_no).alias("no"), F.col(payload).alias("line")).where(F.col("feed").isNotNull() & F.col("no").isNotNull())
+    present = lines.select("feed", "no").distinct()
     steps = present.withColumn("prev", F.lag("no").over(Window.partitionBy("feed").orderBy("no"))).where(F.col("prev").isNotNull())
-    keyed = records.select(F.col(feed).alias("feed"), F.col(file_no).alias("no"), "fields")
-    has = cut(keyed.select("feed", "no", F.explode("fields").alias("name", "x")).groupBy("feed", "no", "name").agg(F.sort_array(F.collect_set("x.kind")).alias("kinds")))
+    fields = held_fields(ingest(lines, "line", ["feed", "no"], target, strict=True), ["feed", "no"], target, values=False)
+    has = cut(fields.distinct().groupBy("feed", "no", "name").agg(F.sort_array(F.collect_list("kind")).alias("kinds")))
     now = steps.join(has, ["feed", "no"]).select("feed", "no", "prev", "name", F.col("kinds").alias("new_kinds"), F.lit(None).cast("array<string>").alias("old_kinds"))
     was = steps.join(has.withColumnRenamed("no", "prev"), ["feed", "prev"]).select("feed", "no", "prev", "name", F.lit(None).cast("array<string>").alias("new_kinds"), F.col("kinds").alias("old_kinds"))
     both = now.unionByName(was).groupBy("feed", "no", "prev", "name").agg(F.max("new_kinds").alias("new_kinds"), F.max("old_kinds").alias("old_kinds"))
@@ -121,14 +155,15 @@ def schema_changes(files: DataFrame, records: DataFrame, *, feed: str, file_no:
 
     # Fields of one record type: few names went or came in a step.
     pairs = changes.where("kind = 'removed'").select("feed", "no", "prev", F.col("name").alias("old")).join(changes.where("kind = 'added'").select("feed", "no", F.col("name").alias("new")), ["feed", "no"])
-    sides = pairs.select("feed", F.col("prev").alias("at"), F.col("old").alias("name"), F.lit(True).alias("before"), "no", "old", "new").unionByName(pairs.select("feed", F.col("no").alias("at"), F.col("new").alias("name"), F.lit(False).alias("before"), "no", "old", "new"))
-    whose = keyed.select("feed", F.col("no").alias("at"), F.struct(*(F.try_element_at("fields", F.lit(k))["value"].alias(f"p{i}") for i, k in enumerate(pair_keys))).alias("pair"), "fields")
-    whole = F.lit(True)
-    for i, k in enumerate(pair_keys):
-        whole = whole & F.try_element_at("fields", F.lit(k))["kind"].isNotNull()
-    whose = whose.where(whole).join(sides.select("feed", "at").distinct(), ["feed", "at"], "left_semi")
-    values = whose.select("feed", "at", "pair", F.explode("fields").alias("name", "x")).where(F.col("x.kind").isNotNull()).select("feed", "at", "pair", "name", F.col("x.value").alias("value"))
-    held = values.join(sides, ["feed", "at", "name"]).groupBy("feed", "no", "old", "new", "pair").agg(
+    sides = cut(pairs.select("feed", F.col("prev").alias("at"), F.col("old").alias("name"), F.lit(True).alias("before"), "no", "old", "new").unionByName(pairs.select("feed", F.col("no").alias("at"), F.col("new").alias("name"), F.lit(False).alias("before"), "no", "old", "new")))
+    asked = lines.withColumnRenamed("no", "at").join(small_side(sides.select("feed", "at").distinct()), ["feed", "at"], "left_semi")
+    records = ingest(asked, "line", ["feed", "at"], target, strict=True)
+    # A record without a whole key has no entries: a filter would be pushed down and have the lines parsed twice.
+    whole = reduce(Column.__and__, (F.col(f"t_{k}").isNotNull() for k in pair_keys))
+    records = records.withColumn("pair", F.when(whole, F.struct(*(F.col(f"t_{k}").alias(f"p{i}") for i, k in enumerate(pair_keys)))))
+    values = held_fields(records, ["feed", "at", "pair"], target, values=True, only=F.col("pair").isNotNull()).where(F.col("kind").isNotNull())
+    values = values.select("feed", "at", "pair", "name", F.struct("kind", "value").alias("value"))
+    held = values.join(small_side(sides), ["feed", "at", "name"]).groupBy("feed", "no", "old", "new", "pair").agg(
         *(f(F.when(side, F.col("value"))).alias(n) for side, s in ((F.col("before"), "b"), (~F.col("before"), "a")) for f, n in ((F.min, f"{s}_lo"), (F.max, f"{s}_hi")))
     )
     held = held.where(F.col("b_lo").isNotNull() & F.col("a_lo").isNotNull())
