@@ -33,7 +33,9 @@ def _prefix(key: Column, digits: int) -> Column:
 
 def _keyed(df: DataFrame, groups: dict[str, str], value: str) -> DataFrame:
     """The groups under new names, and the key of each value that counts."""
-    return df.select(*(F.col(c).alias(n) for n, c in groups.items()), order_key(F.col(value)).alias("key")).where(F.col("key").isNotNull())
+    x = F.col("_x")
+    rows = df.select(*(F.col(c).alias(n) for n, c in groups.items()), F.col(value).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan(x))
+    return rows.select(*groups, order_key(x).alias("key"))
 
 
 def summarise(df: DataFrame, groups: list[str], value: str, *, digits: int = 1) -> DataFrame:
