@@ -55,15 +55,17 @@ def ingest(df: DataFrame, payload: str, keys: list[str], target: dict[str, str],
     held = {f: json_type(F.try_element_at("_t", F.lit(f))) for f in target}
     fit = {f: held[f] == OWN_TYPE.get(kind.lower(), "") if strict else held[f].isin(*SCALARS) for f, kind in target.items()}
     rows = rows.select(*keys, "_m", "_t", *(F.when(fit[f], F.try_variant_get(F.try_element_at("_m", F.lit(f)), "$", kind)).alias(f"t_{f}") for f, kind in target.items()))
-    placed = F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(F.col(f"t_{f}").isNotNull(), F.lit(f)) for f in target)))
-    told = (lambda t: F.lit(True)) if strict else (lambda t: json_type(t).isNotNull())
-    # From texts, not from values: a JSON text stands as it is in the object's text.
-    rest = F.map_filter("_t", lambda k, t: told(t) & ~F.array_contains(placed, k))
-    rows = rows.select(*keys, "_t", *(f"t_{f}" for f in target), rest.alias("_rest"))
+    told = (lambda t: t.isNotNull()) if strict else (lambda t: json_type(t).isNotNull())
+    pair = lambda k, t: F.concat(_quoted(k), F.lit(":"), t)
+    # From texts, not from values: a JSON text stands as it is in the object's text.  Fields of the target are looked at one by one.
+    unknown = F.map_entries(F.map_filter("_t", lambda k, t: ~k.isin(list(target)) & told(t))) if target else F.map_entries(F.map_filter("_t", lambda k, t: told(t)))
+    unfit = [F.when(F.col(f"t_{f}").isNull() & told(F.try_element_at("_t", F.lit(f))), pair(F.lit(f), F.try_element_at("_t", F.lit(f)))) for f in target]
+    rest = F.concat(F.array_compact(F.array(F.lit(None).cast("string"), *unfit)), F.transform(unknown, lambda e: pair(e["key"], e["value"])))
+    rows = rows.select(*keys, "_t", *(f"t_{f}" for f in target), F.array_join(rest, ",").alias("_rest"))
     return rows.select(
         *keys,
         *(f"t_{f}" for f in target),
-        F.when(F.cardinality("_rest") > 0, F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries("_rest"), lambda e: F.concat(_quoted(e["key"]), F.lit(":"), e["value"])), ","), F.lit("}"))).alias("rescued"),
+        F.when(F.col("_rest") != "", F.concat(F.lit("{"), "_rest", F.lit("}"))).alias("rescued"),
         F.transform_values("_t", lambda _, t: F.struct(json_type(t).alias("kind"), t.alias("value"))).alias("fields"),
     )
 
@@ -170,6 +172,7 @@ def schema_changes(df: DataFrame, payload: str, target: dict[str, str], *, feed:
     fits = held.groupBy("feed", "no", "old", "new").agg(F.count(F.lit(1)).alias("n"), F.min(((F.col("b_lo") == F.col("a_lo")) & (F.col("b_hi") == F.col("a_hi"))).cast("int")).alias("equal")).where("equal = 1")
     best = lambda by, other: Window.partitionBy("feed", "no", by).orderBy(F.desc("n"), other)
     renamed = fits.withColumns({"r1": F.row_number().over(best("old", "new")), "r2": F.row_number().over(best("new", "old"))}).where("r1 = 1 and r2 = 1").select("feed", "no", "old", "new")
+    renamed = cut(renamed)
 
     taken = renamed.select("feed", "no", F.lit("removed").alias("kind"), F.col("old").alias("name")).unionByName(renamed.select("feed", "no", F.lit("added").alias("kind"), F.col("new").alias("name")))
     plain = join_null_safe(changes, taken, ["feed", "no", "kind", "name"], "left_anti")
